@@ -152,3 +152,46 @@ def gram_hashes(h: np.ndarray, n: int) -> np.ndarray:
 def crc_mod(column: str, n: int):
     """crc32 of a column's text, modulo n (null ids count as the empty text)."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % n
+
+
+# ---- Arrow batches ----------------------------------------------------------------------------------------------
+
+
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it."""
+    import os
+
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(":"):
+        env["PYTHONPATH"] = ":".join(filter(None, [env.get("PYTHONPATH"), root]))
+
+
+def annotate(docs: DataFrame, fn, added: str, inputs: list[str], carry: list[str] | None = None) -> DataFrame:
+    """``carry`` columns (all, unless named) and the columns of the DDL text ``added``, which ``fn`` makes for each Arrow
+    batch from the columns ``inputs``: a function from a list of arrays to a list of arrays. No shuffle. A carried column
+    whose name is among the added ones is replaced."""
+    from pyspark.sql.types import StructField, StructType
+
+    importable(docs.sparkSession)
+    new = StructType.fromDDL(added)
+    taken = {f.name.lower() for f in new}
+    carry = [c for c in (docs.columns if carry is None else carry) if c.lower() not in taken]
+    names = list(dict.fromkeys([*carry, *inputs]))
+    kinds = {c: docs.schema[c].dataType for c in names}
+    packed = docs.select(F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)]).alias("d"))
+    back = StructType([StructField(f"c{i}", kinds[c]) for i, c in enumerate(names) if c in carry])
+    schema = StructType(([StructField("d", back)] if carry else []) + list(new))
+    at, keep = [names.index(c) for c in inputs], [i for i, c in enumerate(names) if c in carry]
+    labels = [f.name for f in schema]
+
+    def run(batches):
+        for b in batches:
+            d = b.column(0)
+            out = fn([d.field(i) for i in at])
+            if keep:
+                out = [pa.StructArray.from_arrays([d.field(i) for i in keep], names=[f"c{i}" for i in keep]), *out]
+            yield pa.RecordBatch.from_arrays(out, names=labels)
+
+    out = packed.mapInArrow(run, schema)
+    return out.select(*[F.col(f"d.c{i}").alias(names[i]) for i in keep], *[F.col(f.name) for f in new])

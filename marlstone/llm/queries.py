@@ -5,24 +5,56 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .decontaminate import find_contamination
 from .exact_dedup import exact_groups
 from .mixing import mix_sources
+from .token_count import count_tokens
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def vocabulary() -> str:
+    """The public vocabulary file whose counts op2 gives."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op2_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    return count_tokens(docs, vocabulary(), limit=2048, carry=["doc_id"])
+
+
 def op5_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "source")
     return mix_sources(docs, block_docs=16)
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_contamination(docs, _read(spark, sf_dir, "benchmark"), n=13, carry=["doc_id"])
+    return found.select(
+        "doc_id",
+        F.col("decon_words").alias("n_words"),
+        F.col("decon_hit").alias("n_hit"),
+        F.size("decon_items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("decon_items"), ",").cast("binary"), 256).alias("items_sha256"),
+        ((F.col("decon_hit") > 0) & (F.col("decon_hit") * 20 >= F.col("decon_words"))).alias("contaminated"),
+    )
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_read(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op5_pfair_mix": op5_pfair_mix, "op10_exact_dedup": op10_exact_dedup}
+QUERIES = {
+    "op2_token_count": op2_token_count,
+    "op5_pfair_mix": op5_pfair_mix,
+    "op7_decontaminate": op7_decontaminate,
+    "op10_exact_dedup": op10_exact_dedup,
+}
 
 ORACLE_SQL = {
     "op10_exact_dedup": """
