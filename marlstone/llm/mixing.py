@@ -88,7 +88,7 @@ def plan(blocks: dict, weights: dict) -> list[tuple]:
 
 def mix_sources(
     docs: DataFrame, weights: dict | None = None, block_docs: int = 16, id: str = "doc_id", source: str = "source",
-    alpha: float = 0.5, seed: int = 7, resolution: int = 1000, max_sources: int = 1000, bucket_rows: int = 20_000,
+    alpha: float = 0.5, seed: int = 7, resolution: int = 1000, max_sources: int = 1000, bucket_rows: int = 500,
 ) -> DataFrame:
     """All rows of ``docs`` with mix_slot, mix_offset and mix_position, the place in the mixed order.
 
@@ -108,7 +108,7 @@ def mix_sources(
     resolution = max(resolution, 10 * len(sizes))
     table = plan({k: -(-n // block_docs) for k, n in sizes.items()}, integer_weights(weights, resolution)) if sizes else []
 
-    buckets = max(8, -(-max(sizes.values(), default=1) // bucket_rows))
+    buckets = min(1 << 20, max(8, -(-max(sizes.values(), default=1) // bucket_rows)))
     h = F.xxhash64(F.lit(seed), F.col(id).cast("string"))
     struct = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc")
     rows = docs.select(struct, F.col(source).alias("__s"), F.col(id).alias("__id"), h.alias("__h"))
