@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import langid, quality
+from ._shared import crc_mod
 from .decontaminate import find_contamination
 from .exact_dedup import exact_groups
 from .mixing import mix_sources
@@ -27,6 +29,13 @@ def op2_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(docs, vocabulary(), limit=2048, carry=["doc_id"])
 
 
+def op3_ppm_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.learn(docs.filter(crc_mod("doc_id", 5) != 0), order=3, sample_docs=300)
+    out = langid.identify(docs, model, carry=["doc_id"])
+    return out.select("doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
+
+
 def op5_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "source")
     return mix_sources(docs, block_docs=16)
@@ -45,14 +54,27 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def quality_model(docs: DataFrame, labels: DataFrame):
+    """The classifier of op8 and of the pipeline: learned from labels of ids that are not held out."""
+    return quality.learn(docs, labels.filter(crc_mod("doc_id", 3) != 1), per_label=1500)
+
+
+def op8_cnn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    out = quality.score_quality(docs, quality_model(docs, _read(spark, sf_dir, "labels")), carry=["doc_id"])
+    return out.select("doc_id", (crc_mod("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_read(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op2_token_count": op2_token_count,
+    "op3_ppm_langid": op3_ppm_langid,
     "op5_pfair_mix": op5_pfair_mix,
     "op7_decontaminate": op7_decontaminate,
+    "op8_cnn_quality": op8_cnn_quality,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
