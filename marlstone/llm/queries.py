@@ -9,6 +9,7 @@ from . import langid, quality
 from ._shared import crc_mod
 from .decontaminate import find_contamination
 from .exact_dedup import exact_groups
+from .jaccard_join import jaccard_classes
 from .mixing import mix_sources
 from .token_count import count_tokens
 
@@ -65,6 +66,10 @@ def op8_cnn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (crc_mod("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_classes(_read(spark, sf_dir, "documents").select("doc_id", "text"), n=5, percent=75)
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_read(spark, sf_dir, "documents"))
 
@@ -75,6 +80,7 @@ QUERIES = {
     "op5_pfair_mix": op5_pfair_mix,
     "op7_decontaminate": op7_decontaminate,
     "op8_cnn_quality": op8_cnn_quality,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
