@@ -11,6 +11,7 @@ from .decontaminate import find_contamination
 from .exact_dedup import exact_groups
 from .jaccard_join import jaccard_classes
 from .mixing import mix_sources
+from .secret_scan import BASE, scan_secrets
 from .token_count import count_tokens
 
 
@@ -37,6 +38,16 @@ def op3_ppm_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
 
 
+def op4_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("secret_spans", lambda s: s["kind"].isin(*BASE))
+    of = lambda kind: F.size(F.filter("secret_spans", lambda s: s["kind"] == kind)).cast("long")
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    return found.select(
+        "doc_id", *[of(k).alias(f"n_{k}") for k in BASE], F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("secret_spans")).alias("spans")
+    )
+
+
 def op5_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "source")
     return mix_sources(docs, block_docs=16)
@@ -77,6 +88,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_token_count": op2_token_count,
     "op3_ppm_langid": op3_ppm_langid,
+    "op4_trigram_secrets": op4_trigram_secrets,
     "op5_pfair_mix": op5_pfair_mix,
     "op7_decontaminate": op7_decontaminate,
     "op8_cnn_quality": op8_cnn_quality,
