@@ -11,6 +11,7 @@ from .decontaminate import find_contamination
 from .exact_dedup import exact_groups
 from .jaccard_join import jaccard_classes
 from .mixing import mix_sources
+from .pii import KINDS, pseudonymize
 from .secret_scan import BASE, scan_secrets
 from .token_count import count_tokens
 
@@ -26,6 +27,16 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+#: Stands in for a secret in tests and checks; a deployment passes its own.
+DEMO_KEY = "marlstone-demonstration-key"
+
+
+def op1_feistel_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pseudonymize(_read(spark, sf_dir, "documents").select("doc_id", "text"), DEMO_KEY)
+    counts = [F.coalesce(F.try_element_at("pii_counts", F.lit(k)), F.lit(0)).cast("long").alias(f"n_{k}") for k in KINDS]
+    return out.select("doc_id", "text", *counts)
+
+
 def op2_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
     return count_tokens(docs, vocabulary(), limit=2048, carry=["doc_id"])
@@ -86,6 +97,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_feistel_pii": op1_feistel_pii,
     "op2_token_count": op2_token_count,
     "op3_ppm_langid": op3_ppm_langid,
     "op4_trigram_secrets": op4_trigram_secrets,
