@@ -13,6 +13,7 @@ from .jaccard_join import jaccard_classes
 from .mixing import mix_sources
 from .pii import KINDS, pseudonymize
 from .secret_scan import BASE, scan_secrets
+from .suffix_dedup import repeated_passages
 from .token_count import count_tokens
 
 
@@ -64,6 +65,12 @@ def op5_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(docs, block_docs=16)
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeated_passages(_read(spark, sf_dir, "documents").select("doc_id", "text"), min_words=50, window=20)
+    spans = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
+    return found.select("doc_id", "n_repeated", spans.alias("spans"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
     found = find_contamination(docs, _read(spark, sf_dir, "benchmark"), n=13, carry=["doc_id"])
@@ -102,6 +109,7 @@ QUERIES = {
     "op3_ppm_langid": op3_ppm_langid,
     "op4_trigram_secrets": op4_trigram_secrets,
     "op5_pfair_mix": op5_pfair_mix,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_decontaminate": op7_decontaminate,
     "op8_cnn_quality": op8_cnn_quality,
     "op9_jaccard_join": op9_jaccard_join,
