@@ -385,3 +385,14 @@ def jaccard_classes(docs: DataFrame, id: str = "doc_id", text: str = "text", n:
     out = rows.select("__id", "n_shingles", "node").join(sized(alone), F.col("node") == F.col("__m"), "left")
     out = out.join(sized(member), F.col("node") == F.col("__f"), "left")
     return out.select(F.col("__id").alias(id), "n_shingles", F.coalesce("component", "rep", "__id").alias("component_id"))
+
+
+def keep_one_per_class(docs: DataFrame, id: str = "doc_id", text: str = "text", n: int = 5, percent: int = 75) -> DataFrame:
+    """The rows of ``docs``, as they are, less those that link, directly or not, to a row with a smaller id.
+
+    Rows that share an id and a set are one document and all stay or go together; rows with a null id stay.
+    """
+    classes = jaccard_classes(docs.select(id, text), id, text, n, percent)
+    gone = classes.filter(F.col(id) > F.col("component_id")).select(F.col(id).alias("__gone")).distinct()
+    gone = materialize(gone, "jaccard-gone")
+    return docs.join(sized(gone), F.col(id) == F.col("__gone"), "left_anti")
