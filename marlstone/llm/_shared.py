@@ -154,6 +154,9 @@ def crc_mod(column: str, n: int):
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % n
 
 
+#: Rows of a batch handled and given back at once.
+PIECE_ROWS = 1024
+
 # ---- Arrow batches ----------------------------------------------------------------------------------------------
 
 
@@ -186,12 +189,13 @@ def annotate(docs: DataFrame, fn, added: str, inputs: list[str], carry: list[str
     labels = [f.name for f in schema]
 
     def run(batches):
-        for b in batches:
-            d = b.column(0)
-            out = fn([d.field(i) for i in at])
-            if keep:
-                out = [pa.StructArray.from_arrays([d.field(i) for i in keep], names=[f"c{i}" for i in keep]), *out]
-            yield pa.RecordBatch.from_arrays(out, names=labels)
+        for whole in batches:
+            for lo in range(0, whole.num_rows, PIECE_ROWS):  # what is made of a few rows may be large
+                d = whole.slice(lo, PIECE_ROWS).column(0)
+                out = fn([d.field(i) for i in at])
+                if keep:
+                    out = [pa.StructArray.from_arrays([d.field(i) for i in keep], names=[f"c{i}" for i in keep]), *out]
+                yield pa.RecordBatch.from_arrays(out, names=labels)
 
     out = packed.mapInArrow(run, schema)
     return out.select(*[F.col(f"d.c{i}").alias(names[i]) for i in keep], *[F.col(f.name) for f in new])

@@ -13,7 +13,8 @@ principle linked sets agree in some segment, if levels add up to more than H:
 m and the level of an instance come from a cost model: entries to index against the chance that a set falls short of H
 once empty segments are left out. Left-out segments are accounted for set by set: a set that still has more than H
 levels loses nothing, since its linked sets meet it elsewhere. Sets that fall short are met in the left-out groups too,
-with each other. So nothing is capped, and nothing is lost.
+with each other. So nothing is capped, and nothing is lost. More than that, linked sets must meet as often as a set has
+levels to spare beyond H (less what was left out of it), which dismisses most chance meetings before any text moves.
 
 Copies and clusters must not cost pairs: equal sets are one node; a first round with a few segments of each instance
 offers every node the one leader it shares most with, and components of the verified links become labels; the full index
@@ -40,7 +41,13 @@ from .components import connected_components
 
 #: Index entries a bucket should hold, nodes of a group from which on it counts as shared by very many, first-round segments.
 BUCKET_ENTRIES, MANY, FIRST = 2_000_000, 16, 8
-SLICE, SLICE_DOCS = 8 << 20, 100_000
+#: What an entry of one shingle costs in the cost model, in entries.
+LONE = 20
+SLICE, SLICE_DOCS = 4 << 20, 50_000
+#: Nodes of a block when large groups are counted, leaders offered to a node in the first round.
+BLOCK, OFFERS = 256, 3
+HEAD = [("id", "<u8"), ("label", "<u8"), ("slack", "<i4"), ("turn", "u1")]
+BODY = [("sig", "<u4"), ("at", "<u4")]
 U = np.uint64
 
 
@@ -97,7 +104,10 @@ def allocation(low: int, high: int, percent: int) -> tuple[int, int]:
                     mean = m * (2 - 2 * p0 - p1)
                     var = m * (4 * (1 - p0 - p1) + p1) - mean * mean / m
                 short = max(short, 0.5 * math.erfc((mean - need - 0.5) / math.sqrt(2 * max(var, 1e-9))))
-            cost = m + (high if level == 2 else 0) + 100 * high * short
+            # A lone shingle may be a stock phrase that many sets share: such entries count more.
+            a = high / m
+            lone = m * a * math.exp(-a) * (1 if level == 1 else 1 + a)
+            cost = m + (high if level == 2 else 0) + LONE * lone + 100 * high * short
             if best is None or cost < best[0]:
                 best = (cost, m, level)
     return best[1], best[2]
@@ -236,13 +246,20 @@ def verify(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFram
 
 
 def _first_round(nodes: DataFrame) -> DataFrame:
-    """For each node the leader (smallest node of a group) that it shares most first-round entries with."""
+    """For each node the leaders that it shares most first-round entries with. A group's leader is its smallest node in
+    one of four orders, chosen by the group, so that members of a loose cluster meet several of it."""
     entries = nodes.select("node", F.explode("first").alias("sig"))
-    groups = entries.groupBy("sig").agg(F.min("node").alias("lead"), F.max("node").alias("last")).filter("lead < last")
+    order = F.xxhash64(F.pmod("sig", F.lit(4)), "node")
+    groups = entries.groupBy("sig").agg(F.min(order).alias("lead"), F.max(order).alias("last")).filter("lead != last")
     groups = materialize(groups.select(F.col("sig").alias("g"), "lead"), "jaccard-leaders")
-    met = entries.join(sized(groups), F.col("sig") == F.col("g")).filter("node != lead")
-    best = met.groupBy("node", "lead").count().groupBy("node").agg(F.max(F.struct("count", "lead")).alias("top"))
-    return best.select(F.col("top.lead").alias("a"), F.col("node").alias("b"))
+    met = entries.withColumn("own", order).join(sized(groups), F.col("sig") == F.col("g"))
+    # Leaders are known by their hash in an order; the rows that have it tell their names.
+    names = materialize(met.filter("own = lead").select(F.col("lead").alias("l"), F.col("node").alias("leader")).distinct(), "jaccard-names")
+    count = met.filter("own != lead").groupBy("node", "lead").count()
+    named = count.join(sized(names), F.col("lead") == F.col("l")).filter("node != leader")
+    best = named.groupBy("node").agg(F.slice(F.sort_array(F.collect_list(F.struct("count", "leader")), asc=False), 1, OFFERS).alias("top"))
+    pairs = best.select("node", F.explode("top.leader").alias("leader"))
+    return pairs.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
 
 
 def _buckets(docs: DataFrame, text: str, n: int, percent: int, count: int) -> DataFrame:
@@ -260,6 +277,7 @@ def _buckets(docs: DataFrame, text: str, n: int, percent: int, count: int) -> Da
                 sig, who, loss, slack = index_entries(sets, percent)
                 if not len(sig):
                     continue
+                level = np.array([k for s in sets for k in ([x[2] for x in instances(len(s), percent)] if len(s) else [0, 0])])
                 at = ((sig >> U(32)) * U(count)) >> U(32)
                 order = np.argsort(at, kind="stable")
                 cut = np.searchsorted(at[order], np.arange(count + 1).astype(U))
@@ -268,9 +286,9 @@ def _buckets(docs: DataFrame, text: str, n: int, percent: int, count: int) -> Da
                     part = order[cut[k] : cut[k + 1]]
                     if len(part):
                         own, idx = np.unique(who[part], return_inverse=True)
-                        head = np.zeros(len(own), [("id", "<u8"), ("label", "<u8"), ("slack", "<i4"), ("turn", "<u4")])
-                        head["id"], head["label"], head["slack"], head["turn"] = names[own >> 1], labels[own >> 1], slack[own], own & 1
-                        body = np.zeros(len(part), [("sig", "<u4"), ("at", "<u4")])
+                        head = np.zeros(len(own), HEAD)
+                        head["id"], head["label"], head["slack"], head["turn"] = names[own >> 1], labels[own >> 1], slack[own], (own & 1) | level[own] << 1
+                        body = np.zeros(len(part), BODY)
                         body["sig"], body["at"] = (sig[part] & U(0xFFFFFFFF)).astype(np.uint32), (idx << 2) | loss[part]
                         kept.append(k)
                         blobs.append(len(own).to_bytes(8, "little") + head.tobytes() + body.tobytes())
@@ -283,12 +301,11 @@ def _buckets(docs: DataFrame, text: str, n: int, percent: int, count: int) -> Da
 def _meet(pdf: pd.DataFrame) -> pd.DataFrame:
     """Pairs with different labels in a bucket's small groups; the members of its large groups with different labels."""
     bucket = int(pdf["bucket"].iloc[0])
-    head_type, body_type = [("id", "<u8"), ("label", "<u8"), ("slack", "<i4"), ("turn", "<u4")], [("sig", "<u4"), ("at", "<u4")]
     heads, sigs, ats, base = [], [], [], 0
     for blob in pdf["blob"]:
         size = int.from_bytes(blob[:8], "little")
-        heads.append(np.frombuffer(blob, head_type, size, 8))
-        body = np.frombuffer(blob, body_type, -1, 8 + 24 * size)
+        heads.append(np.frombuffer(blob, HEAD, size, 8))
+        body = np.frombuffer(blob, BODY, -1, 8 + np.dtype(HEAD).itemsize * size)
         sigs.append(body["sig"])
         ats.append(body["at"].astype(np.int64) + (base << 2))
         base += size
@@ -300,32 +317,117 @@ def _meet(pdf: pd.DataFrame) -> pd.DataFrame:
     size = np.diff(start, append=len(sig))
     label = head["label"][owner]
     differ = np.minimum.reduceat(label, start) != np.maximum.reduceat(label, start)
-    out_a, out_b = [np.zeros(0, U)], [np.zeros(0, U)]
+    turn = head["turn"].astype(np.int64)
+    met = [np.zeros((0, 2), np.int64)]
     for k in range(2, MANY + 1):
         runs = start[differ & (size == k)]
         if len(runs):
             i, j = np.triu_indices(k, 1)
             a, b = owner[(runs[:, None] + i).ravel()], owner[(runs[:, None] + j).ravel()]
             apart = head["label"][a] != head["label"][b]
-            out_a.append(head["id"][a[apart]])
-            out_b.append(head["id"][b[apart]])
-    a, b = np.concatenate(out_a), np.concatenate(out_b)
-    pair = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0) if len(a) else np.zeros((0, 2), U)
+            a, b = a[apart], b[apart]
+            swap = head["id"][a] > head["id"][b]
+            met.append(np.stack([np.where(swap, b, a), np.where(swap, a, b)], 1))
+    pair, times = np.unique(np.concatenate(met), axis=0, return_counts=True)
+    a, b = pair[:, 0], pair[:, 1]
     big = np.repeat(differ & (size > MANY), size)
-    own = head[owner[big]]
-    nothing = np.zeros(len(pair), np.int64)
+    own = owner[big]
+    none = np.zeros(len(own), np.int64)
+    both = lambda x, y: np.r_[x, y].astype(np.int64, casting="unsafe")
     return pd.DataFrame({
         "big": np.r_[np.zeros(len(pair), bool), np.ones(len(own), bool)],
-        "a": np.r_[pair[:, 0].view(np.int64), own["id"].view(np.int64)],
-        "b": np.r_[pair[:, 1].view(np.int64), own["label"].view(np.int64)],
-        "sig": np.r_[nothing, (np.int64(bucket) << 32) | sig[big].astype(np.int64)],
-        "turn": np.r_[nothing, own["turn"].astype(np.int64)],
-        "slack": np.r_[nothing, own["slack"].astype(np.int64)],
-        "loss": np.r_[nothing, at[big] & 3],
+        "a": np.r_[head["id"][a], head["id"][own]].view(np.int64), "b": np.r_[head["id"][b], none.view(U)].view(np.int64),
+        "label": np.r_[np.zeros(len(pair), U), head["label"][own]].view(np.int64),
+        "ta": both(turn[a], turn[own]), "tb": both(turn[b], none),
+        "sa": both(head["slack"][a], head["slack"][own]), "sb": both(head["slack"][b], none),
+        "sig": both(np.zeros(len(pair)), (np.int64(bucket) << 32) | sig[big].astype(np.int64)),
+        "n": both(times * np.maximum(turn[a] >> 1, turn[b] >> 1), at[big] & 3),
     })
 
 
-MEET = "big boolean, a long, b long, sig long, turn long, slack long, loss long"
+#: Of a pair: nodes, turns, spare levels and how often they met. Of a member (big): its label, group and what it loses.
+MEET = "big boolean, a long, b long, label long, ta long, tb long, sa long, sb long, sig long, n long"
+
+
+def _link_blocks(n: int, percent: int):
+    """For a pair of blocks: exact intersections of all their sets as a product of incidence matrices, and of the links
+    between different labels a spanning forest. Pairs neither leave nor enter; a block has a fixed number of sets."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        nodes = pdf.drop_duplicates(["a"]).sort_values(["blk", "a"]).reset_index(drop=True)
+        texts = [t.encode() for t in nodes["text"]]
+        off = np.cumsum([0, *map(len, texts)])
+        data = np.frombuffer(b"".join(texts), np.uint8)
+        sets: list[np.ndarray] = []
+        for lo, hi in _pieces(off):
+            sets += shingle_sets(data[off[lo] : off[hi]], off[lo : hi + 1] - off[lo], n)
+        size = np.array([len(x) for x in sets], np.int64)
+        token, count = np.unique(np.concatenate(sets), return_inverse=False, return_counts=True)
+        token = token[count > 1]  # what only one set has is in no intersection
+        both = np.zeros((len(sets), len(sets)), np.float32)
+        ranks = [np.searchsorted(token, x) for x in sets]
+        ranks = [r[(r < len(token)) & (token[np.minimum(r, len(token) - 1)] == x)] if len(token) else r[:0] for r, x in zip(ranks, sets, strict=True)]
+        for lo in range(0, len(token), 4096):
+            m = np.zeros((len(sets), 4096), np.float32)
+            for i, r in enumerate(ranks):
+                m[i, r[np.searchsorted(r, lo) : np.searchsorted(r, lo + 4096)] - lo] = 1
+            both += m @ m.T
+        both = both.astype(np.int64)
+        linked = (100 * both >= percent * (size[:, None] + size[None] - both)) & (both > 0)
+        label, block, name = (nodes[c].to_numpy() for c in ("label", "blk", "a"))
+        if len(set(block)) > 1:
+            linked &= block[:, None] != block[None]
+        same = label[:, None] == label[None]
+        linked &= ~same
+        left, out = set(range(len(sets))), []
+        while left:
+            todo = [left.pop()]
+            while todo:
+                i = todo.pop()
+                for j in np.flatnonzero(linked[i] | same[i]).tolist():
+                    if j in left:
+                        left.discard(j)
+                        todo.append(j)
+                        if not same[i, j]:
+                            out.append((min(name[i], name[j]), max(name[i], name[j])))
+        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+
+    return run
+
+
+def _large_groups(left: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """Verified links (a, b) between sets that fall short, out of the large groups' members ``left``; enough of them for
+    the components. ``texts``: k and text of those sets.
+
+    Sets that meet in no large group, even by way of others, are in different families; a family is dealt into blocks, of
+    one label where a label has many sets, and blocks that may hold different labels are compared with each other.
+    """
+    star = left.groupBy(F.col("sig").alias("g")).agg(F.min("a").alias("low"))
+    star = materialize(star, "jaccard-stars")
+    links = left.select("sig", "a").join(sized(star), F.col("sig") == F.col("g")).select(F.col("low").alias("a"), F.col("a").alias("b")).distinct()
+    family = connected_components(links).select(F.col("node").alias("fn"), F.col("root").alias("fam"))
+    member = left.select("a", "label").distinct().join(family, F.col("a") == F.col("fn"), "left")
+    member = materialize(member.select("a", "label", F.coalesce("fam", "a").alias("fam")), "jaccard-member")
+    many = member.groupBy("fam", "label").count().withColumn("own", F.col("count") >= BLOCK)
+    pool = many.filter("not own").groupBy(F.col("fam").alias("pf")).agg(F.sum("count").alias("pool"))
+    many = many.join(pool, F.col("fam") == F.col("pf"), "left").select(F.col("fam").alias("mf"), F.col("label").alias("ml"), "own", F.when(F.col("own"), F.col("count")).otherwise(F.col("pool")).alias("total"))
+    many = materialize(many, "jaccard-labels")
+    dealt = F.pmod(F.xxhash64("a"), F.ceil(F.col("total") / BLOCK))
+    member = member.join(sized(many), (F.col("fam") == F.col("mf")) & (F.col("label") == F.col("ml")))
+    pure = F.when(F.col("own"), F.col("label"))
+    member = member.select("a", "fam", pure.alias("pure"), F.xxhash64("fam", F.coalesce(pure, F.lit(0)), "own", dealt).alias("blk"))
+    member = materialize(member, "jaccard-dealt")
+    blocks = member.select("fam", "blk", "pure").distinct()
+    other = blocks.select(F.col("fam").alias("f2"), F.col("blk").alias("k2"), F.col("pure").alias("p2"))
+    wanted = blocks.join(other, (F.col("fam") == F.col("f2")) & (F.col("blk") <= F.col("k2")) & ~F.coalesce(F.col("pure") == F.col("p2"), F.lit(False)))
+    wanted = materialize(wanted.select(F.col("blk").alias("b1"), F.col("k2").alias("b2")), "jaccard-blocks")
+    owner = member.select(F.col("a").alias("ma"), "blk", "fam")
+    ends = wanted.union(wanted.filter("b1 != b2").select("b2", "b1")).select(F.col("b1").alias("mine"), F.least("b1", "b2").alias("b1"), F.greatest("b1", "b2").alias("b2"))
+    ends = materialize(ends, "jaccard-ends")
+    rows = left.select("a", "label").distinct().join(sized(owner), F.col("a") == F.col("ma")).join(sized(ends), F.col("blk") == F.col("mine"))
+    rows = rows.select("b1", "b2", "a", "label", "blk").join(texts.hint("merge"), F.col("a") == F.col("k")).select("b1", "b2", "a", "label", "blk", "text")
+    importable(left.sparkSession)
+    return rows.groupBy("b1", "b2").applyInPandas(_link_blocks(n, percent), "a long, b long").distinct()
 
 
 def jaccard_classes(docs: DataFrame, id: str = "doc_id", text: str = "text", n: int = 5, percent: int = 75) -> DataFrame:
@@ -356,26 +458,43 @@ def jaccard_classes(docs: DataFrame, id: str = "doc_id", text: str = "text", n:
     marked = docs.select(F.col(id).alias("__d"), text).join(sized(marks), F.col("__d") == F.col("__id"), "left")
     met = _buckets(marked, text, n, percent, count).groupBy("bucket").applyInPandas(_meet, MEET)
     met = materialize(met, "jaccard-met")
-    small = met.filter("not big").select("a", "b")
     large = met.filter("big")
-    short = large.groupBy("a", "turn").agg(F.sum("loss").alias("lost"), F.min("slack").alias("spare")).filter("spare <= lost")
-    short = materialize(short.select(F.col("a").alias("sa"), F.col("turn").alias("st")), "jaccard-short")
-    left = large.join(sized(short), (F.col("a") == F.col("sa")) & (F.col("turn") == F.col("st")), "left_semi").select("sig", "a", "b").distinct()
-    mixed = left.groupBy("sig").agg(F.min("b").alias("x"), F.max("b").alias("y")).filter("x < y").select(F.col("sig").alias("ms"))
+    lost = large.groupBy("a", "ta").agg(F.sum("n").alias("lost"), F.min("sa").alias("spare"))
+    lost = materialize(lost.select(F.col("a").alias("l_id"), F.col("ta").alias("l_turn"), "lost", (F.col("spare") <= F.col("lost")).alias("short")), "jaccard-lost")
+    short = materialize(lost.filter("short").select(F.col("l_id").alias("s_id"), F.col("l_turn").alias("s_turn")), "jaccard-short")
+    left = large.join(sized(short), (F.col("a") == F.col("s_id")) & (F.col("ta") == F.col("s_turn")), "left_semi").select("sig", "a", "label", "ta", "sa")
+    mixed = left.groupBy("sig").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x != y").select(F.col("sig").alias("ms"))
     left = materialize(left.join(sized(materialize(mixed, "jaccard-mixed")), F.col("sig") == F.col("ms"), "left_semi"), "jaccard-left")
-    other = left.select(F.col("sig").alias("s2"), F.col("a").alias("a2"), F.col("b").alias("b2"))
-    cross = left.join(other, (left["sig"] == other["s2"]) & (left["b"] < other["b2"])).select(F.least("a", "a2").alias("a"), F.greatest("a", "a2").alias("b"))
-    pairs = materialize(small.union(cross).distinct(), "jaccard-pairs")
+    # Small groups' ids compare as unsigned numbers, everything from here on as signed ones.
+    small = met.filter("not big").select("a", "b", "ta", "tb", "sa", "sb", "n")
+    turned = F.col("a") > F.col("b")
+    pick = lambda x, y, name: F.when(turned, F.col(y)).otherwise(F.col(x)).alias(name)
+    small = small.select(*[pick(x, y, x) for x, y in (("a", "b"), ("b", "a"), ("ta", "tb"), ("tb", "ta"), ("sa", "sb"), ("sb", "sa"))], "n")
+    often = small.groupBy("a", "b", "ta", "tb").agg(F.sum("n").alias("n"), F.max("sa").alias("sa"), F.max("sb").alias("sb"))
+    side = lambda x: sized(lost.select(F.col("l_id").alias(f"{x}i"), F.col("l_turn").alias(f"{x}t"), F.col("lost").alias(f"{x}l"), F.col("short").alias(f"{x}s")))
+    often = often.join(side("x"), (F.col("a") == F.col("xi")) & (F.col("ta") == F.col("xt")), "left").join(side("y"), (F.col("b") == F.col("yi")) & (F.col("tb") == F.col("yt")), "left")
+    # Two sets that both fall short and share a large group are compared there; for others nothing is missing.
+    whole = F.coalesce("xs", F.lit(False)) & F.coalesce("ys", F.lit(False))
+    gone = lambda c: F.when(whole, 0).otherwise(F.coalesce(c, F.lit(0)))
+    enough = (F.col("n") >= F.col("sa") - gone("xl")) & (F.col("n") >= F.col("sb") - gone("yl"))
+    pairs = materialize(often.filter(enough).select("a", "b").distinct(), "jaccard-pairs")
+    ends = pairs.select(F.col("a").alias("e")).union(pairs.select(F.col("b").alias("e"))).distinct()
+    ends = materialize(ends, "jaccard-ends")
     by_name = nodes.select("node", "rep", name("node").alias("k"))
-    ends = materialize(pairs.select(F.col("a").alias("e")).union(pairs.select(F.col("b").alias("e"))).distinct(), "jaccard-ends")
     wanted = materialize(by_name.join(sized(ends), F.col("k") == F.col("e")).select("node", "rep", "k"), "jaccard-wanted")
     one, two = wanted.select(F.col("node").alias("na"), F.col("k").alias("ka")), wanted.select(F.col("node").alias("nb"), F.col("k").alias("kb"))
     full = pairs.join(sized(one), F.col("a") == F.col("ka")).join(sized(two), F.col("b") == F.col("kb")).select(F.col("na").alias("a"), F.col("nb").alias("b"))
     texts = materialize(_texts(docs, wanted, id, text, n), "jaccard-texts")
     more = materialize(verify(full, texts, n, percent), "jaccard-links")
     release(texts)
+    few = left.select(F.col("a").alias("e")).distinct()
+    wanted = materialize(by_name.join(sized(materialize(few, "jaccard-few")), F.col("k") == F.col("e")).select("node", "rep", "k"), "jaccard-wanted")
+    texts = _texts(docs, wanted, id, text, n).withColumn("k", name("node")).select("k", "text")
+    cross = materialize(_large_groups(left, materialize(texts, "jaccard-texts"), n, percent), "jaccard-cross")
+    one, two = wanted.select(F.col("node").alias("na"), F.col("k").alias("ka")), wanted.select(F.col("node").alias("nb"), F.col("k").alias("kb"))
+    cross = cross.join(sized(one), F.col("a") == F.col("ka")).join(sized(two), F.col("b") == F.col("kb")).select(F.col("na").alias("a"), F.col("nb").alias("b"))
     release(met)
-    final = connected_components(links.union(more))
+    final = connected_components(links.union(more).union(cross))
     final = final.select(F.col("node").alias("__f"), "root")
     owner = nodes.select("node", "rep").join(sized(final), F.col("node") == F.col("__f"))
     low = owner.groupBy("root").agg(F.min("rep").alias("component"))
