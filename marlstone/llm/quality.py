@@ -52,8 +52,9 @@ class Cnn:
         half = len(w["f"]) // 2
         z = quad[:-1] @ w["f"][:half] + quad[1:] @ w["f"][half:]
         z = z.reshape(-1, BLOCK, z.shape[1])
-        top = z.max(1)
         ends = np.cumsum(blocks)
+        z[ends - 1, -1] = -1e30  # half of this filter would lie in the next document
+        top = z.max(1)
         first = ends - blocks
         # Chunk i joins half chunks i and i + 1 of a document; a document of one half chunk is one chunk.
         left = np.delete(np.arange(len(top)), (ends - 1)[blocks > 1])
