@@ -68,6 +68,12 @@ class Gate:
     results: list[Result]
     rows_in: int
     rows_quarantined: int
+    cached: DataFrame | None = None
+
+    def release(self) -> None:
+        """Give the judged rows' memory back, once clean and quarantined rows are written."""
+        if self.cached is not None:
+            self.cached.unpersist()
 
     @property
     def failed(self) -> bool:
@@ -230,4 +236,4 @@ def gate(df: DataFrame, rules: list[Rule], references: dict | None = None, batch
     results += batch_results(df, rules, as_of(batch_id))
     clean = marked.filter(F.size("_dq_rule_ids") == 0).select(*[F.col(f"`{c}`") for c in df.columns])
     held = marked.filter(F.size("_dq_rule_ids") > 0).select(*[F.col(f"`{c}`") for c in df.columns], "_dq_rule_ids", "_dq_severity")
-    return Gate(clean, held, sorted(results, key=lambda r: r.rule.rule_id), got["rows"], got["held"])
+    return Gate(clean, held, sorted(results, key=lambda r: r.rule.rule_id), got["rows"], got["held"], marked)

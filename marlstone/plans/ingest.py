@@ -158,8 +158,12 @@ def run_silver(lake: Lake, config: dict, until_date: str = "", force_reload: boo
             s.rows_read += typed.rows_in
             s.rows_quarantined += typed.rows_quarantined + gate.rows_quarantined
             s.rows_deduped += typed.rows_in - typed.rows_quarantined - gate.rows_in
-            gate.raise_if_failed(entity)
-            total += write_silver(lake, config, gate.clean, batch_id)
+            try:
+                gate.raise_if_failed(entity)
+                total += write_silver(lake, config, gate.clean, batch_id)
+            finally:
+                gate.release()
+                typed.release()
             s.rows_written = total
         control.set_watermark(lake.store, entity, "silver", scope[-1], s.batch_id)
     return total
