@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, quality
+from . import langid, oracles, quality
 from ._shared import crc_mod
 from .decontaminate import find_contamination
 from .exact_dedup import exact_groups
@@ -116,14 +116,10 @@ QUERIES = {
     "op10_exact_dedup": op10_exact_dedup,
 }
 
+#: The others' methods have no SQL twin: learned models, tokens, keyed permutations, hashed orders, extended matches.
 ORACLE_SQL = {
-    "op10_exact_dedup": """
-        SELECT doc_id,
-               max(doc_id) OVER g AS keep_id,
-               count(*) OVER g AS group_size,
-               doc_id = max(doc_id) OVER g AS kept,
-               sha256(coalesce(text, '')) AS text_sha256
-        FROM documents
-        WINDOW g AS (PARTITION BY coalesce(text, ''))
-    """,
+    "op4_trigram_secrets": oracles.SECRETS,
+    "op7_decontaminate": oracles.CONTAMINATION,
+    "op9_jaccard_join": oracles.CLASSES,
+    "op10_exact_dedup": oracles.EXACT,
 }
