@@ -26,12 +26,13 @@ ROUNDS = 8  # even: the halves end where they began
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}"
 IP = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])"
 PHONE = r"(?<![0-9+])\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])"
+LOCAL_PHONE = r"(?<![0-9A-Za-z+.-])(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![0-9]|[.-][0-9])"
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
 DATE = r"(?<![0-9])(?:(?:1[89]|2[01])[0-9]{2}-[01][0-9]-[0-3][0-9]|[0-3][0-9][./][01][0-9][./](?:1[89]|2[01])[0-9]{2})(?![0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 CARD = r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])"
 KINDS = ("email", "ip", "iban", "phone", "date", "ssn", "card")
-PATTERN = "|".join((EMAIL, IP, IBAN, PHONE, DATE, SSN, CARD))
+PATTERN = "|".join((EMAIL, IP, IBAN, PHONE, LOCAL_PHONE, DATE, SSN, CARD))
 #: Days from 1800-01-01 to 2199-12-31: 400 Gregorian years are 189 * 773 days.
 FIRST_DAY, DAYS = "1800-01-01", (189, 773)
 
@@ -133,7 +134,7 @@ def pseudonym(m: Column, key: str) -> Column:
     check = F.lpad((98 - _mod97(F.concat(F.substring(plain, 1, 2), F.lit("00"), body))).cast("string"), 2, "0")
     iban = _like(m, F.concat(F.substring(plain, 1, 2), check, body), "[A-Z0-9]")
 
-    # The country code stays; digits after it are permuted.
+    # The country code stays; digits after it are permuted, with or without one alike.
     code = F.length(F.regexp_extract(m, r"^\+([0-9]{1,3}?)(?=[ .(-])", 1))
     rest = F.substring(digits, code + 1, F.length(digits))
     phone = _like(m, F.concat(F.substring(digits, F.lit(1), code), permute_text(rest, key, "phone")), "[0-9]")
@@ -162,7 +163,7 @@ def pseudonym(m: Column, key: str) -> Column:
         F.when(F.contains(m, F.lit("@")), pick("email", mail))
         .when(whole(IP) & F.forall(octets, lambda x: x <= 255), pick("ip", ip))
         .when(whole(IBAN) & (_mod97(plain) == 1), pick("iban", iban))
-        .when(m.startswith("+"), pick("phone", phone))
+        .when(m.startswith("+") | whole(LOCAL_PHONE), pick("phone", phone))
         .when(whole(DATE) & _day(m).isNotNull(), pick("date", date))
         .when(whole(SSN) & real, pick("ssn", ssn))
         .when(whole(CARD) & (_luhn(digits, 0) % 10 == 0), pick("card", card))
