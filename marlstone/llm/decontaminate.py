@@ -115,8 +115,9 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, n: int = 13, text:
     return out.withColumn("decon_hit", hit)
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = 13, share: float = 0.05, **names) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = 13, share: float = 0.05, text: str = "text", **names) -> DataFrame:
     """The rows of ``docs``, as they are, of whose words less than ``share`` lie inside benchmark windows."""
-    found = find_contamination(docs, benchmark, n, **names)
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc"), F.col(text).alias("__text"))
+    found = find_contamination(packed, benchmark, n, "__text", carry=["__doc"], **names)
     hit = (F.col("decon_hit") > 0) & (F.col("decon_hit") >= F.lit(share) * F.col("decon_words"))
-    return found.filter(~hit).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return found.filter(~hit).select("__doc.*")

@@ -64,7 +64,12 @@ def _all(parts) -> object:
 
 def _any(parts) -> object:
     flat = set(parts)
-    return True if True in flat or not flat else next(iter(flat)) if len(flat) == 1 else ("or", *sorted(flat, key=str))
+    if True in flat or not flat:
+        return True
+    # An alternative that asks for more than another one adds nothing.
+    asks = {p: {p} if isinstance(p, str) else set(p[1:]) if p[0] == "and" else None for p in flat}
+    flat = {p for p in flat if not any(q != p and asks[q] is not None and asks[p] is not None and asks[q] < asks[p] for q in flat)}
+    return next(iter(flat)) if len(flat) == 1 else ("or", *sorted(flat, key=str))
 
 
 def _of_strings(strings: set[str]) -> object:
