@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -160,10 +161,24 @@ PIECE_ROWS = 1024
 # ---- Arrow batches ----------------------------------------------------------------------------------------------
 
 
+def trim() -> None:
+    """Give freed memory back to the system: workers live on, and share their executor's limit with the JVM."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def importable(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it."""
+    """Let Python workers import this package from where the driver has it, and get Arrow batches of a few MB: unless the
+    session has a size of its own, batches of up to 64 MB would be held several times over."""
     import os
 
+    size = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(size, None) in (None, "67108864b", "64MB"):
+        spark.conf.set(size, "4m")
+
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     env = spark.sparkContext.environment
     if root not in env.get("PYTHONPATH", "").split(":"):
@@ -196,6 +211,7 @@ def annotate(docs: DataFrame, fn, added: str, inputs: list[str], carry: list[str
                 if keep:
                     out = [pa.StructArray.from_arrays([d.field(i) for i in keep], names=[f"c{i}" for i in keep]), *out]
                 yield pa.RecordBatch.from_arrays(out, names=labels)
+            trim()
 
     out = packed.mapInArrow(run, schema)
     return out.select(*[F.col(f"d.c{i}").alias(names[i]) for i in keep], *[F.col(f.name) for f in new])

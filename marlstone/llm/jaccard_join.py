@@ -36,16 +36,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import NOT_SPACE, annotate, gram_hashes, importable, materialize, mix, release, sized, slices, text_buffers, word_hashes, words
+from ._shared import NOT_SPACE, annotate, gram_hashes, importable, materialize, mix, release, sized, slices, text_buffers, trim, word_hashes, words
 from .components import connected_components
 
 #: Index entries a bucket should hold, nodes of a group from which on it counts as shared by very many, first-round segments.
 BUCKET_ENTRIES, MANY, FIRST = 2_000_000, 16, 8
 #: What an entry of one shingle costs in the cost model, in entries.
 LONE = 20
-SLICE, SLICE_DOCS = 4 << 20, 50_000
+SLICE, SLICE_DOCS = 2 << 20, 50_000
 #: Nodes of a block when large groups are counted, leaders offered to a node in the first round.
 BLOCK, OFFERS = 256, 3
+#: Parts in which a bucket's entries are grouped.
+PASSES = 8
 HEAD = [("id", "<u8"), ("label", "<u8"), ("slack", "<i4"), ("turn", "u1")]
 BODY = [("sig", "<u4"), ("at", "<u4")]
 U = np.uint64
@@ -293,6 +295,7 @@ def _buckets(docs: DataFrame, text: str, n: int, percent: int, count: int) -> Da
                         kept.append(k)
                         blobs.append(len(own).to_bytes(8, "little") + head.tobytes() + body.tobytes())
                 yield pa.RecordBatch.from_arrays([pa.array(kept, pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
+            trim()
 
     importable(docs.sparkSession)
     return docs.select(F.col(text).alias("t"), "label", "skip").mapInArrow(run, "bucket int, blob binary")
@@ -307,42 +310,50 @@ def _meet(pdf: pd.DataFrame) -> pd.DataFrame:
         heads.append(np.frombuffer(blob, HEAD, size, 8))
         body = np.frombuffer(blob, BODY, -1, 8 + np.dtype(HEAD).itemsize * size)
         sigs.append(body["sig"])
-        ats.append(body["at"].astype(np.int64) + (base << 2))
+        ats.append(body["at"] + np.uint32(base << 2))
         base += size
-    head, sig, at = np.concatenate(heads), np.concatenate(sigs), np.concatenate(ats)
-    order = np.argsort(sig, kind="stable")
-    sig, at = sig[order], at[order]
-    owner = at >> 2
-    start = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
-    size = np.diff(start, append=len(sig))
-    label = head["label"][owner]
-    differ = np.minimum.reduceat(label, start) != np.maximum.reduceat(label, start)
+    head, every, place = np.concatenate(heads), np.concatenate(sigs), np.concatenate(ats)
+    del heads, sigs, ats
     turn = head["turn"].astype(np.int64)
-    met = [np.zeros((0, 2), np.int64)]
-    for k in range(2, MANY + 1):
-        runs = start[differ & (size == k)]
-        if len(runs):
-            i, j = np.triu_indices(k, 1)
-            a, b = owner[(runs[:, None] + i).ravel()], owner[(runs[:, None] + j).ravel()]
-            apart = head["label"][a] != head["label"][b]
-            a, b = a[apart], b[apart]
-            swap = head["id"][a] > head["id"][b]
-            met.append(np.stack([np.where(swap, b, a), np.where(swap, a, b)], 1))
+    met, large = [np.zeros((0, 2), np.int64)], []
+    for q in range(PASSES):  # a part of the hashes at a time: little memory beside the entries themselves
+        part = np.flatnonzero(every // np.uint32((1 << 32) // PASSES) == q)
+        if not len(part):
+            continue
+        part = part[np.argsort(every[part], kind="stable")]
+        sig, at = every[part], place[part].astype(np.int64)
+        owner = at >> 2
+        start = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
+        size = np.diff(start, append=len(sig))
+        label = head["label"][owner]
+        differ = np.minimum.reduceat(label, start) != np.maximum.reduceat(label, start)
+        for k in range(2, MANY + 1):
+            runs = start[differ & (size == k)]
+            if len(runs):
+                i, j = np.triu_indices(k, 1)
+                a, b = owner[(runs[:, None] + i).ravel()], owner[(runs[:, None] + j).ravel()]
+                apart = head["label"][a] != head["label"][b]
+                a, b = a[apart], b[apart]
+                swap = head["id"][a] > head["id"][b]
+                met.append(np.stack([np.where(swap, b, a), np.where(swap, a, b)], 1))
+        big = np.repeat(differ & (size > MANY), size)
+        large.append(np.stack([owner[big], (np.int64(bucket) << 32) | sig[big].astype(np.int64), at[big] & 3], 1))
     pair, times = np.unique(np.concatenate(met), axis=0, return_counts=True)
     a, b = pair[:, 0], pair[:, 1]
-    big = np.repeat(differ & (size > MANY), size)
-    own = owner[big]
-    none = np.zeros(len(own), np.int64)
+    large = np.concatenate(large) if large else np.zeros((0, 3), np.int64)
+    own, none = large[:, 0], np.zeros(len(large), np.int64)
     both = lambda x, y: np.r_[x, y].astype(np.int64, casting="unsafe")
-    return pd.DataFrame({
+    out = pd.DataFrame({
         "big": np.r_[np.zeros(len(pair), bool), np.ones(len(own), bool)],
         "a": np.r_[head["id"][a], head["id"][own]].view(np.int64), "b": np.r_[head["id"][b], none.view(U)].view(np.int64),
         "label": np.r_[np.zeros(len(pair), U), head["label"][own]].view(np.int64),
         "ta": both(turn[a], turn[own]), "tb": both(turn[b], none),
         "sa": both(head["slack"][a], head["slack"][own]), "sb": both(head["slack"][b], none),
-        "sig": both(np.zeros(len(pair)), (np.int64(bucket) << 32) | sig[big].astype(np.int64)),
-        "n": both(times * np.maximum(turn[a] >> 1, turn[b] >> 1), at[big] & 3),
+        "sig": both(np.zeros(len(pair)), large[:, 1]),
+        "n": both(times * np.maximum(turn[a] >> 1, turn[b] >> 1), large[:, 2]),
     })
+    trim()
+    return out
 
 
 #: Of a pair: nodes, turns, spare levels and how often they met. Of a member (big): its label, group and what it loses.
@@ -390,6 +401,7 @@ def _link_blocks(n: int, percent: int):
                         todo.append(j)
                         if not same[i, j]:
                             out.append((min(name[i], name[j]), max(name[i], name[j])))
+        trim()
         return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
     return run
