@@ -96,9 +96,9 @@ def _positions(docs: DataFrame, text: str, window: int, depth: int) -> DataFrame
 def _contexts(docs: DataFrame, wanted: DataFrame, text: str, window: int, depth: int) -> DataFrame:
     """For each wanted suffix the hashes of the words before it (nearest first) and after its key, 4 bytes a word."""
     side = window - 1
-    wanted = wanted.groupBy("id", "h").agg(F.array_sort(F.collect_list(F.struct("pos", "k1", "k2"))).alias("want"))
+    wanted = wanted.groupBy("id", "h").agg(F.array_sort(F.collect_set(F.struct("pos", "k1", "k2"))).alias("want"))
     wanted = materialize(wanted.withColumnsRenamed({"id": "__i", "h": "__h"}), "suffix-wanted")
-    rows = docs.join(sized(wanted, limit=50_000), F.col("id").eqNullSafe(F.col("__i")) & (F.col("h") == F.col("__h")))
+    rows = docs.join(wanted.hint("merge"), F.col("id").eqNullSafe(F.col("__i")) & (F.col("h") == F.col("__h")))
 
     def run(columns: list[pa.Array]) -> list[pa.Array]:
         data, off, _ = text_buffers(columns[0])
@@ -144,8 +144,15 @@ def _neighbours(rows: DataFrame, column: str, side: int) -> DataFrame:
     ordered = ordered.repartitionByRange(n, *order).sortWithinPartitions(*order)
 
     def run(batches):
-        part, last = TaskContext.get().partitionId(), None
+        part, last, seen = TaskContext.get().partitionId(), None, None
         for b in batches:
+            # Equal rows of the table are one document, and no neighbours of each other.
+            h, at = np.asarray(b.column("h")), np.asarray(b.column("pos"))
+            new = np.r_[True, (h[1:] != h[:-1]) | (at[1:] != at[:-1])][: len(h)]
+            if len(h):
+                new[0] = seen != (h[0], at[0])
+                seen = (h[-1], at[-1])
+            b = b if new.all() else b.filter(pa.array(new))
             if not b.num_rows:
                 continue
             k1, k2 = (np.asarray(b.column(c)) for c in ("k1", "k2"))
@@ -216,7 +223,8 @@ def repeated_passages(docs: DataFrame, id: str = "doc_id", text: str = "text", m
     every = materialize(_positions(rows, "t", window, depth), "suffix-positions")
     keys = every.groupBy("k1", "k2").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).filter("lo < hi")
     keys = materialize(keys.select(F.col("k1").alias("a1"), F.col("k2").alias("a2")), "suffix-keys")
-    shared = every.join(sized(keys), (F.col("k1") == F.col("a1")) & (F.col("k2") == F.col("a2")), "left_semi").distinct()
+    # Both grow with the corpus: always a shuffle join, whose hot keys adaptive execution splits.
+    shared = every.join(keys.hint("merge"), (F.col("k1") == F.col("a1")) & (F.col("k2") == F.col("a2")), "left_semi")
     # Runs of kept positions whose keys touch; only what begins or ends one needs extending.
     doc = Window.partitionBy("id", "h").orderBy("pos")
     ends = shared.withColumn("begins", F.coalesce(F.col("pos") - F.lag("pos").over(doc) > depth, F.lit(True)))
