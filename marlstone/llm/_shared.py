@@ -29,6 +29,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and return a frame that reads it: lineage ends here, lost executors don't matter."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/marlstone/{name}-{uuid.uuid4().hex}"
+    trim()
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._marlstone_path = path
@@ -44,6 +45,12 @@ def release(df: DataFrame) -> None:
         p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def clear(spark: SparkSession) -> None:
+    """Delete all written intermediate tables: once the results that read them are written themselves."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/marlstone")
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def sized(df: DataFrame, rows: int | None = None, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast a narrow materialized frame if it has at most ``limit`` rows; beyond that the join shuffles."""
     n = df.count() if rows is None else rows

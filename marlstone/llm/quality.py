@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import annotate, slices, text_buffers
+from ._shared import annotate, slices, text_buffers, trim
 
 WIDTH, STRIDE, BLOCK = 8, 4, 64  # bytes of a filter, bytes of a step, steps of half a chunk
 BYTES = BLOCK * STRIDE
@@ -132,6 +132,7 @@ def fit(texts: list[bytes], labels: list[int], epochs: int = 16, batch: int = 24
     epochs = max(epochs, min(120, -(-150 * batch // len(texts))))
     steps = epochs * -(-len(texts) // batch)
     for _ in range(epochs):
+        trim()
         order = r.permutation(len(texts))
         for lo in range(0, len(order), batch):
             pick = order[lo : lo + batch]
@@ -159,7 +160,10 @@ def learn(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
     ids = docs.sparkSession.createDataFrame([(i,) for i in sample], docs.select(F.col(id).alias("i")).schema)
     rows = docs.select(F.col(id).alias("i"), F.coalesce(F.col(text), F.lit("")).alias("t")).join(F.broadcast(ids), "i", "left_semi")
     found = sorted((r["i"], r["t"]) for r in rows.limit(4 * per_label).toLocalIterator())
-    return fit([t.encode() for _, t in found], [sample[i] for i, _ in found])
+    net = fit([t.encode() for _, t in found], [sample[i] for i, _ in found])
+    del found
+    trim()
+    return net
 
 
 def score_quality(docs: DataFrame, model, text: str = "text", carry: list[str] | None = None) -> DataFrame:
