@@ -7,12 +7,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-def surrogate_keys(new: DataFrame, order: list[str], name: str, start: int = 0, parallel: bool = False) -> DataFrame:
+#: Rows that one task may sort.
+ONE_TASK = 1_000_000
+
+
+def surrogate_keys(new: DataFrame, order: list[str], name: str, start: int = 0, parallel: bool | None = None) -> DataFrame:
     """Numbers start + 1, start + 2, ... in the order of unique columns ``order``.
 
-    The plain form sorts in one task, which suits dimensions. ``parallel`` numbers inside hash-free ranges: the rows are
-    split by range, counted, and numbered with the counts before them as offsets; for this the result is checkpointed.
+    Up to ``ONE_TASK`` rows are sorted in one task. Beyond that, or with ``parallel``, the rows are split by range, counted,
+    and numbered with the counts before them as offsets; for this the result is checkpointed.
     """
+    if parallel is None:
+        parallel = new.limit(ONE_TASK + 1).count() > ONE_TASK
     if not parallel:
         return new.withColumn(name, (F.row_number().over(Window.orderBy(*order)) + start).cast("bigint"))
     parts = new.repartitionByRange(*order).withColumn("__part", F.spark_partition_id())

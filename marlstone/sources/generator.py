@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.hashing import bucket, chance, pick, uniform, weighted_pick
 from .landing import Landing, calendar
 
-SEED = 20260929
+SEED = 7919
 # Rates of the injected defects, and the share of the span at which rates go missing.
 DUPLICATES, NO_MERCHANT, NEGATIVE, BAD_CURRENCY, MISMATCH = 0.003, 0.005, 0.0002, 0.00015, 0.0005
 GAPS = (0.17, 0.33, 0.51, 0.68, 0.86)
@@ -33,7 +33,7 @@ SCALES = {"tiny": Scale(120, 50_000, 2_000, 3_000, 500), "demo": Scale(548, 2_00
 
 
 class Generator:
-    def __init__(self, spark: SparkSession, scale: Scale, as_of: dt.date = dt.date(2026, 9, 20), seed: int = SEED):
+    def __init__(self, spark: SparkSession, scale: Scale, as_of: dt.date = dt.date(2026, 6, 30), seed: int = SEED):
         self.spark, self.scale, self.as_of, self.seed = spark, scale, as_of, seed
         self.first = as_of - dt.timedelta(days=scale.days - 1)
 
