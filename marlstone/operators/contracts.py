@@ -66,3 +66,8 @@ def apply_types(df: DataFrame, types: dict[str, str]) -> DataFrame:
     """Contracted types for the rows that passed the gate; what is not contracted passes."""
     pending = pending_casts(df, types)
     return df.select(*[F.col(f"`{c}`").try_cast(pending[c]).alias(c) if c in pending else F.col(f"`{c}`") for c in df.columns])
+
+
+def complete(df: DataFrame, types: dict[str, str]) -> DataFrame:
+    """Contracted columns that didn't arrive, as nulls of their type: a feed may leave out a field that is always null."""
+    return df.select("*", *[F.lit(None).cast(t).alias(c) for c, t in types.items() if c not in df.columns])

@@ -14,6 +14,7 @@ from ..functions.values import convert_minor, flag, risk_tier, scale_to_two_digi
 from ..operators import keys as sk
 from ..operators.aggregate import union_of_grains
 from ..operators.calendar import date_range, dim_date
+from ..operators.contracts import types_for
 from ..operators.intervals import closed_intervals
 from ..operators.lookup import UNKNOWN, chained_lookup, checked_date_key, date_interval_lookup, lookup, not_in, only_in, pit_lookup
 from ..operators.merge import rebuild_groups, replace_by_key, resync
@@ -189,7 +190,14 @@ def load(store, batch_id: str = "full", stage: dict[str, DataFrame] | None = Non
     """Load gold from silver, table by table. ``stage`` narrows fact_transaction and fact_dispute to a batch's rows; the
     facts replace the staged keys, the aggregate rebuilds the days they touch."""
     spark = store.spark
-    silver = lambda n: (stage or {}).get(n) if (stage or {}).get(n) is not None else store.read("silver", n)
+
+    def silver(n: str, staged: bool = True) -> DataFrame:
+        if staged and (stage or {}).get(n) is not None:
+            return stage[n]
+        if n == "fact_dispute" and not store.exists("silver", n):  # no dispute has come yet
+            return spark.createDataFrame([], ", ".join(f"{c} {t}" for c, t in types_for("disputes").items()))
+        return store.read("silver", n)
+
     prior = lambda n: store.read("gold", n) if store.exists("gold", n) else None
     stamp = lambda df: df.withColumns({"load_batch_id": F.lit(batch_id), "loaded_ts": F.current_timestamp()})
     bare = lambda n: None if prior(n) is None else prior(n).drop("load_batch_id", "loaded_ts")
@@ -201,7 +209,7 @@ def load(store, batch_id: str = "full", stage: dict[str, DataFrame] | None = Non
     put("dim_currency", dim_currency(spark), ["currency_sk"])
     put("dim_decline_reason", dim_decline_reason(spark), ["decline_reason_sk"])
     tx, disputes = silver("fact_transaction"), silver("fact_dispute")
-    span = date_range([(store.read("silver", "fact_transaction"), "auth_ts"), (store.read("silver", "fact_dispute"), "raised_date"), (store.read("silver", "fact_dispute"), "resolved_date")])
+    span = date_range([(silver("fact_transaction", False), "auth_ts"), (silver("fact_dispute", False), "raised_date"), (silver("fact_dispute", False), "resolved_date")])
     put("dim_date", dim_date(spark, *span), ["date_sk"])
     put("dim_card_product", dim_card_product(bare("dim_card_product"), silver("dim_card_product")), ["card_product_sk"])
     for name in ("dim_account", "dim_customer", "dim_merchant"):

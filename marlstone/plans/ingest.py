@@ -146,7 +146,7 @@ def run_silver(lake: Lake, config: dict, until_date: str = "", force_reload: boo
             control.record_results(lake.store, lake.run_id, batch_id, entity, typed)
             control.quarantine(lake.store, lake.run_id, batch_id, entity, typed)
             typed.raise_if_failed(entity)
-            df = contracts.apply_types(typed.clean, types)
+            df = contracts.complete(contracts.apply_types(typed.clean, types), types)
             if config["load_type"] == "static":
                 df = in_window(df, part[-1:], config["partition_column"])
             order = config["effective_from_column"] or config["partition_column"]

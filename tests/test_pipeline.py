@@ -16,7 +16,7 @@ from .conftest import rows_of
 def lake(spark, tmp_path_factory):
     root = f"file://{tmp_path_factory.mktemp('lake')}"
     landing = Landing(spark, f"{root}/landing")
-    Generator(spark, Scale(30, 2500, 80, 120, 30)).write(landing)
+    Generator(spark, Scale(45, 4000, 80, 120, 30)).write(landing)
     lake = ingest.Lake(landing, TableStore(spark, f"{root}/lake"), config.quality_rules(), control.new_run_id())
     for call in (ingest.run_bronze, ingest.run_silver):
         done = runner.run_stage(lambda c, call=call: call(lake, c), config.feed_configs(), retries=0)
@@ -82,6 +82,15 @@ def test_forced_reload_replaces(lake):
     assert lake.store.row_count("bronze", "br_fx_rates") == n
 
 
+def test_gold_loads_before_the_first_dispute(lake, spark, tmp_path):
+    store = TableStore(spark, f"file://{tmp_path}/lake")
+    for n in lake.store.list_tables("silver"):
+        if n != "fact_dispute":
+            store.write(lake.store.read("silver", n).limit(300), "silver", n, "overwrite")
+    done = gold.load(store)
+    assert done["fact_dispute"] == 0 and done["fact_transaction"] == 300 and done["agg_merchant_daily"] > 0
+
+
 def test_measures_hold_together(star):
     one = measures.evaluate(star, measures.NAMES).first()
     assert len(measures.NAMES) == 36
