@@ -225,27 +225,32 @@ def repeated_passages(docs: DataFrame, id: str = "doc_id", text: str = "text", m
     keys = materialize(keys.select(F.col("k1").alias("a1"), F.col("k2").alias("a2")), "suffix-keys")
     # Both grow with the corpus: always a shuffle join, whose hot keys adaptive execution splits.
     shared = every.join(keys.hint("merge"), (F.col("k1") == F.col("a1")) & (F.col("k2") == F.col("a2")), "left_semi")
-    # Runs of kept positions whose keys touch; only what begins or ends one needs extending.
+    # Runs of kept positions whose keys touch. A passage's first kept suffix lies less than ``window`` words inside it; if it
+    # is not covered by a run that begins before the passage, it lies as near to the run's begin; likewise at the end. Which
+    # of the suffixes there other documents keep differs from one document to the next, so all of them are extended.
     doc = Window.partitionBy("id", "h").orderBy("pos")
     ends = shared.withColumn("begins", F.coalesce(F.col("pos") - F.lag("pos").over(doc) > depth, F.lit(True)))
     ends = ends.withColumn("finishes", F.coalesce(F.lead("pos").over(doc) - F.col("pos") > depth, F.lit(True)))
-    shared = materialize(ends, "suffix-shared")
+    near = lambda lo, hi: doc.rangeBetween(lo, hi)
+    edges = F.max("begins").over(near(1 - window, 0)) | F.max("finishes").over(near(0, window - 1))
+    shared = materialize(ends.withColumn("edge", edges), "suffix-shared")
     release(every)
-    edge = materialize(shared.filter("begins or finishes").select(F.col("k1").alias("e1"), F.col("k2").alias("e2")).distinct(), "suffix-edges")
+    edge = materialize(shared.filter("edge").select(F.col("k1").alias("e1"), F.col("k2").alias("e2")).distinct(), "suffix-edges")
     wanted = shared.join(sized(edge), (F.col("k1") == F.col("e1")) & (F.col("k2") == F.col("e2")), "left_semi").select("id", "h", "pos", "k1", "k2")
     around = materialize(_contexts(rows, wanted, "t", window, depth), "suffix-contexts")
     left = _neighbours(around, "before", window - 1).withColumnsRenamed({"id": "li", "h": "lh", "pos": "lp", "ext": "left"})
     right = _neighbours(around, "after", window - 1).withColumnsRenamed({"id": "ri", "h": "rh", "pos": "rp", "ext": "right"})
-    run = shared.filter("begins or finishes")
+    run = shared.filter("edge")
     on = lambda i, h, p: F.col("id").eqNullSafe(F.col(i)) & (F.col("h") == F.col(h)) & (F.col("pos") == F.col(p))
     run = run.join(left, on("li", "lh", "lp"), "left").join(right, on("ri", "rh", "rp"), "left")
-    start = F.col("pos") - F.when(F.col("begins"), F.coalesce("left", F.lit(0))).otherwise(0)
-    end = F.col("pos") + depth + F.when(F.col("finishes"), F.coalesce("right", F.lit(0))).otherwise(0)
+    span = lambda s, e: F.struct(s.cast("long").alias("start"), e.cast("long").alias("end"))
+    end = F.col("pos") + depth
     # A run's first row gives where it starts, its last row where it ends; both in order, they pair up.
     pieces = run.groupBy("id", "h").agg(
-        F.array_sort(F.collect_list(F.when(F.col("begins"), start))).alias("s"), F.array_sort(F.collect_list(F.when(F.col("finishes"), end))).alias("e")
-    )
-    one = F.zip_with("s", "e", lambda s, e: F.struct(s.cast("long").alias("start"), e.cast("long").alias("end")))
+        F.array_sort(F.collect_list(F.when(F.col("begins"), F.col("pos")))).alias("s"), F.array_sort(F.collect_list(F.when(F.col("finishes"), end))).alias("e"),
+        F.collect_list(span(F.col("pos") - F.coalesce("left", F.lit(0)), end + F.coalesce("right", F.lit(0)))).alias("x"),
+    )
+    one = F.array_sort(F.concat(F.zip_with("s", "e", span), "x"))
     none = F.expr("cast(array() as array<struct<start: long, end: long>>)")
 
     def join(acc, x):

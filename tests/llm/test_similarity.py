@@ -175,6 +175,19 @@ def test_planted_passages_are_found_whole(spark):
     assert {d for d, _ in got} == {d for d, _ in docs if d < 900}
 
 
+def test_nested_and_shifted_passages_are_found_whole(spark):
+    """Third copies that start or stop inside the passage: the suffixes kept at its edges differ by document."""
+    docs = []
+    for k in range(150):
+        n, cut = 50 + k % 30, 1 + k % 19
+        p, q = passage(2000 + k, n), passage(3000 + k, n).split()
+        part, tail = p.split()[cut:], q[: n - cut]
+        shared = ([p, p, " ".join(part)], [" ".join(q), " ".join(q), " ".join(tail)], [p, " ".join(part), p])[k % 3]
+        for c, x in enumerate(shared):
+            docs.append((len(docs), f"{passage(9000 + 10 * k + c, 30 + c)} {x} {passage(20000 + 10 * k + c, 30)}"))
+    check(repeated_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect(), docs)
+
+
 def test_passages_of_odd_rows(spark, odd, none):
     rows = repeated_passages(odd).collect()
     assert {r["doc_id"] for r in rows} == {1, 4, 5, 6}
