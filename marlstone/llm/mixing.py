@@ -2,10 +2,13 @@
 
 Every source's documents are cut into blocks. Block i (from 1) of a source with weight w is released at floor((i - 1) / w)
 and due at ceil(i / w); in every slot the released block with the earliest deadline goes out. With weights that add up to
-one, each source is then less than one block away from its share after every slot. The pattern of slots repeats after as
-many slots as the (integer) weights add up to, so the schedule is a small table of weights alone: at most
-``max_sources`` x ``resolution`` entries for each phase, whatever the size of the data. When a source is used up, the
-others go on with their weights scaled up: the next phase.
+one, each source is then less than one block away from its share after every slot. When a source is used up, the others
+go on with their weights scaled up: the next phase.
+
+Windows come from the exact target weights as fractions. Only where the blocks left are so few that weights rounded to
+``resolution`` parts lead no source away by a whole block in all of them, the rounded weights are used: there the bound
+is two blocks. Weights that add up to ``resolution`` or less repeat their pattern of slots, which is then all the table
+of the phase. Others don't: the driver works out a slot for each block, four bytes a block in the table.
 
 Documents are numbered inside their source by (hash bucket, hash, id): buckets split a source of any size over many
 tasks, and the offsets come from the counts of the buckets. No window spans a whole source.
@@ -17,14 +20,20 @@ neighbouring places; an empty table gives an empty result; extra columns pass th
 from __future__ import annotations
 
 import heapq
+from array import array
 from fractions import Fraction
+from math import gcd, lcm
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ._shared import materialize, sized
 
+#: Blocks in a row of the table, for weights that don't repeat.
+PIECE = 8192
+
 
 def integer_weights(weights: dict, resolution: int) -> dict:
     """Positive weights as integers that add up to ``resolution`` (largest remainders, one at least)."""
@@ -42,6 +51,12 @@ def integer_weights(weights: dict, resolution: int) -> dict:
     return out
 
 
+def drift(weights: dict, near: dict) -> Fraction:
+    """Blocks a slot by which rounded weights lead a source away from its target, at most."""
+    total, size = sum(weights.values()), sum(near.values())
+    return max(abs(Fraction(weights[k], total) - Fraction(near[k], size)) for k in weights)
+
+
 def pfair_pattern(weights: dict) -> dict:
     """Slots of each source in one period of sum(weights) slots: earliest deadline first among released blocks."""
     period = sum(weights.values())
@@ -66,20 +81,61 @@ def pfair_pattern(weights: dict) -> dict:
     return slots
 
 
-def plan(blocks: dict, weights: dict) -> list[tuple]:
-    """(source, phase, first block, blocks, start slot, period, weight, slots of a period) until every block has a slot."""
-    left, done, at, phase, out = dict(blocks), dict.fromkeys(blocks, 0), 0, 0, []
-    left = {k: n for k, n in left.items() if n > 0}
+def exact_weights(weights: dict) -> dict:
+    """Positive weights as the smallest integers in exactly their ratios."""
+    exact = {k: Fraction(w) for k, w in weights.items()}
+    scale = lcm(*(w.denominator for w in exact.values()))
+    whole = {k: int(w * scale) for k, w in exact.items()}
+    common = gcd(*whole.values())
+    return {k: w // common for k, w in whole.items()}
+
+
+def pfair_run(blocks: dict, weights: dict) -> dict:
+    """Slots of each source, earliest deadline first among released blocks, until one source has placed all its blocks."""
+    total, names = sum(weights.values()), sorted(weights, key=str)
+    slots = [array("q") for _ in names]
+    w, size = [weights[k] for k in names], [blocks[k] for k in names]
+    waiting, ready, t = [(0, n, 1) for n in range(len(names))], [], 0
+    while True:
+        while waiting and waiting[0][0] <= t:
+            _, n, i = heapq.heappop(waiting)
+            heapq.heappush(ready, (-(-i * total // w[n]), n, i))
+        _, n, i = heapq.heappop(ready)
+        slots[n].append(t)
+        if i == size[n]:
+            return dict(zip(names, slots, strict=True))
+        heapq.heappush(waiting, (i * total // w[n], n, i + 1))
+        t += 1
+
+
+def plan(blocks: dict, weights: dict, resolution: int = 1000) -> list[tuple]:
+    """(source, phase, first block, blocks, start slot, period, weight, slots of a period) until every block has a slot.
+
+    Where no period is repeated, rows hold up to PIECE blocks, with all their slots.
+    """
+    left, done, at, phase, out = {k: n for k, n in blocks.items() if n > 0}, dict.fromkeys(blocks, 0), 0, 0, []
     while left:
-        w = {k: weights[k] for k in left}
-        period, pattern = sum(w.values()), pfair_pattern(w)
-        slot = lambda k, i: i // w[k] * period + pattern[k][i % w[k]]
-        end = min(slot(k, n - 1) for k, n in left.items()) + 1
-        whole, rest = divmod(end, period)
-        for k in sorted(left, key=str):
-            n = whole * w[k] + sum(s < rest for s in pattern[k])
-            if n:
-                out.append((k, phase, done[k], n, at, period, w[k], pattern[k]))
+        w = exact_weights({k: weights[k] for k in left})
+        near = integer_weights(w, max(resolution, 10 * len(w)))
+        if drift(w, near) * sum(left.values()) < 1:
+            w = near
+        period = sum(w.values())
+        if period <= max(resolution, 10 * len(w)):
+            pattern = pfair_pattern(w)
+            slot = lambda k, i: i // w[k] * period + pattern[k][i % w[k]]
+            end = min(slot(k, n - 1) for k, n in left.items()) + 1
+            whole, rest = divmod(end, period)
+            used = {k: whole * w[k] + sum(s < rest for s in pattern[k]) for k in left}
+            out += [(k, phase, done[k], used[k], at, period, w[k], pattern[k]) for k in sorted(left, key=str) if used[k]]
+        else:
+            slots = pfair_run(left, w)
+            used = {k: len(s) for k, s in slots.items()}
+            end = sum(used.values())
+            for k, s in slots.items():
+                for lo in range(0, len(s), PIECE):
+                    part = s[lo : lo + PIECE]
+                    out.append((k, phase, done[k] + lo, len(part), at + part[0], end, len(part), array("i", [x - part[0] for x in part])))
+        for k, n in used.items():
             left[k] -= n
             done[k] += n
         left, at, phase = {k: n for k, n in left.items() if n}, at + end, phase + 1
@@ -105,8 +161,7 @@ def mix_sources(
     if weights is None:
         weights = {k: n**alpha for k, n in sizes.items()}
     weights = {k: weights.get(k, min(weights.values())) for k in sizes}
-    resolution = max(resolution, 10 * len(sizes))
-    table = plan({k: -(-n // block_docs) for k, n in sizes.items()}, integer_weights(weights, resolution)) if sizes else []
+    table = plan({k: -(-n // block_docs) for k, n in sizes.items()}, weights, resolution)
 
     buckets = min(1 << 20, max(8, -(-max(sizes.values(), default=1) // bucket_rows)))
     h = F.xxhash64(F.lit(seed), F.col(id).cast("string"))
@@ -123,10 +178,12 @@ def mix_sources(
     on = F.col("__s").eqNullSafe(F.col("__os")) & (F.col("__b") == F.col("__ob"))
     placed = ranked.join(sized(offsets), on).withColumn("__k", F.col("__before") + F.col("__n") - 1)
     placed = placed.withColumn("__block", F.floor(F.col("__k") / block_docs).cast("long"))
-    schema = "ps string, phase int, first long, blocks long, start long, period long, weight long, slots array<int>"
+    names = ["ps", "phase", "first", "blocks", "start", "period", "weight", "slots"]
+    kinds = [pa.string(), pa.int32(), *[pa.int64()] * 5, pa.list_(pa.int32())]
     typed = [(k if k is None else str(k), *r) for k, *r in table]
-    phases = spark.createDataFrame(typed, schema)
-    # At most max_sources x phases rows, from the weights alone.
+    columns = [pa.array([r[i] for r in typed], kind) for i, kind in enumerate(kinds)]
+    phases = spark.createDataFrame(pa.Table.from_arrays(columns, names=names))
+    # From the weights alone where they repeat, else four bytes a block.
     on = F.col("__s").cast("string").eqNullSafe(F.col("ps")) & F.col("__block").between(F.col("first"), F.col("first") + F.col("blocks") - 1)
     i = F.col("__block") - F.col("first")
     cycle = F.floor(i / F.col("weight")).cast("long")

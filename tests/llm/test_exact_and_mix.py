@@ -1,3 +1,4 @@
+import math
 from collections import Counter
 from fractions import Fraction
 
@@ -67,6 +68,21 @@ def test_plan_gives_every_block_one_slot(blocks):
     assert sorted(seen.values()) == list(range(len(seen)))
 
 
+@pytest.mark.parametrize("weights", [{f"s{i}": (15_000 + 10_833 * i) ** 0.5 for i in range(7)}, {"big": 1.0, "small": 0.0004, "mid": 0.31}, {"a": 3, "b": 1, "c": 1}])
+def test_plan_stays_within_one_block_of_the_unrounded_weights(weights):
+    blocks = {k: 60_000 if w >= 1 else int(60_000 * w) + 5 for k, w in weights.items()}
+    table = mixing.plan(blocks, weights)
+    slots = sorted((at + i // w * period + pattern[i % w], k) for k, phase, _, n, at, period, w, pattern in table if phase == 0 for i in range(n))
+    assert len(slots) > 60_000 and [t for t, _ in slots] == list(range(len(slots)))
+    total, done = sum(map(Fraction, weights.values())), Counter()
+    share = {k: Fraction(w) / total for k, w in weights.items()}
+    unit = math.lcm(*(x.denominator for x in share.values()))  # whole numbers: exact, and fast
+    share = {k: int(x * unit) for k, x in share.items()}
+    for t, k in slots:
+        done[k] += 1
+        assert all(abs(done[x] * unit - share[x] * (t + 1)) < unit for x in share)
+
+
 def test_mix_is_whole_and_fair(spark, data):
     rows = op5_pfair_mix(spark, "/root/testdata/sf0.01").collect()
     assert len(rows) == 1000 == len({r["mix_position"] for r in rows})
