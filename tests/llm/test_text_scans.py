@@ -153,6 +153,18 @@ def test_pseudonyms_keep_formats_and_links(spark):
     assert pii.pseudonymize(df, "other").filter("doc_id = 1").first()["text"] != new
 
 
+def test_account_numbers_end_where_their_country_says(spark):
+    numbers = ["BE68 5390 0754 7034", "ES9121000418450200051332", "ES91 2100 0418 4502 0005 1332", "DE89 3704 0044 0532 0130 00", "NO93 8601 1117 947"]
+    after = [" EUR", " 2024", " VAT", " 2024-05-17", " ABCD 4041894974608795", "", ", paid"]
+    texts = [(i, f"to {n}{a}", n, a) for i, (n, a) in enumerate((n, a) for n in numbers for a in after)]
+    for r in pii.pseudonymize(spark.createDataFrame(texts, "doc_id long, text string, n string, a string"), "k").collect():
+        more = {" 2024-05-17": {"date": 1}, " ABCD 4041894974608795": {"card": 1}}.get(r["a"], {})
+        assert r["pii_counts"] == {"iban": 1} | more, (r["n"], r["a"])
+        assert r["n"] not in r["text"] and (more or r["text"].endswith(r["a"]))
+        iban = r["text"][3 : 3 + len(r["n"])].replace(" ", "")
+        assert int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97 == 1
+
+
 def test_networks_are_permutations(spark):
     n = spark.range(189 * 773).select(pii.permute_number(F.col("id"), 189, 773, "k", "date").alias("p"))
     assert tuple(n.agg(F.min("p"), F.max("p"), F.count_distinct("p")).first()) == (0, 146096, 146097)
