@@ -5,16 +5,20 @@ hash in some window of ``window`` grams, a choice that depends on the words alon
 words share a kept position among the first ``window`` of them, and from there on at least ``min_words - window + 1``
 words: the depth to which suffixes are first told apart, by a 128-bit hash. Kept suffixes that agree to that depth in two
 documents are sorted by what follows and compared with their neighbours, which gives each its longest common continuation;
-sorted by what goes before, read backwards, they give the longest extension to the left. Sorting is by range with the
-document and position among the sort columns, so a passage that a third of all documents share is split over many tasks;
-the two rows next to every cut are compared once more.
-
-The result covers every passage of ``min_words`` or more words that occurs in two documents, in full. Spans that overlap
-are joined; joined spans of fewer words are dropped. Words are runs of anything but white space, without regard to the
-case of A-Z.
-
-Defined results: null texts have no words; rows with equal id and text are one document; a passage that repeats only
-inside one document is left alone; an empty table gives an empty result.
+sorted by what goes before, read backwards, they give the longest extension to the left. Only rows of other documents count
+as neighbours: over the rows of one document the common length is carried along. Sorting is by range with the document and
+position among the sort columns, so a passage that a third of all documents share is split over many tasks, each read as a
+stream; for the first and last run of every part a small job by key finds the neighbours in other parts.
+
+The result covers every passage of ``min_words`` or more words that occurs in two documents, in full, and each of its words
+lies in a passage of at least ``min_words - window + 1`` words that does. Spans that overlap are joined; joined spans of fewer
+than ``min_words`` words are dropped. Words are runs of anything but white space, without regard to the case of A-Z; they are
+compared by 64-bit hashes, keys by 128 bits, and a document is named by a 64-bit hash of id and text.
+
+Defined results: null and empty texts have no words; rows with equal id and text are one document, rows that share an id
+alone are several; a passage that repeats only inside one document is left alone; where several documents tie as the
+longest match all give the same span; a text of any length is read whole, in one task; other columns, whatever their names,
+are not read; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -94,7 +98,7 @@ def _positions(docs: DataFrame, text: str, window: int, depth: int) -> DataFrame
 
 
 def _contexts(docs: DataFrame, wanted: DataFrame, text: str, window: int, depth: int) -> DataFrame:
-    """For each wanted suffix the hashes of the words before it (nearest first) and after its key, 4 bytes a word."""
+    """For each wanted suffix the hashes of the words before it (nearest first) and after its key, 8 bytes a word."""
     side = window - 1
     wanted = wanted.groupBy("id", "h").agg(F.array_sort(F.collect_set(F.struct("pos", "k1", "k2"))).alias("want"))
     wanted = materialize(wanted.withColumnsRenamed({"id": "__i", "h": "__h"}), "suffix-wanted")
@@ -109,8 +113,7 @@ def _contexts(docs: DataFrame, wanted: DataFrame, text: str, window: int, depth:
         before, after = [], []
         for lo, hi in slices(off):
             low, starts, ends, woff = words(data[off[lo] : off[hi]], off[lo : hi + 1] - off[lo], NOT_SPACE)
-            h = (word_hashes(low, starts, ends) >> U(32)).astype(np.uint32)
-            h = np.concatenate([h, [0]]).astype(np.uint32)
+            h = np.concatenate([word_hashes(low, starts, ends) | U(1), np.zeros(1, U)])
             n = np.diff(cut[lo : hi + 1])
             first, last = np.repeat(woff[:-1], n), np.repeat(woff[1:], n)
             p = pos[cut[lo] : cut[hi]] + first
@@ -118,9 +121,9 @@ def _contexts(docs: DataFrame, wanted: DataFrame, text: str, window: int, depth:
             # Outside the document a word is zero: it equals no other, see _common.
             left = p[:, None] - 1 - step
             right = p[:, None] + depth + step
-            before.append(np.where(left >= first[:, None], h[np.maximum(left, 0)] | np.uint32(1), 0))
-            after.append(np.where(right < last[:, None], h[np.minimum(right, len(h) - 1)] | np.uint32(1), 0))
-        pack = lambda x: pa.array([r.tobytes() for r in np.concatenate(x).astype(">u4")] if x else [], pa.binary())
+            before.append(np.where(left >= first[:, None], h[np.maximum(left, 0)], U(0)))
+            after.append(np.where(right < last[:, None], h[np.minimum(right, len(h) - 1)], U(0)))
+        pack = lambda x: pa.array([r.tobytes() for r in np.concatenate(x).astype(">u8")] if x else [], pa.binary())
         lists = lambda x: pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), x)
         return [lists(pack(before)), lists(pack(after))]
 
@@ -135,91 +138,187 @@ def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.cumprod(same, axis=1).sum(1)
 
 
+#: Stands for "as far as the context goes", until the row beyond an end of the part is known; for "another key".
+OPEN, NONE = 1 << 10, -1
+
+
+def _least(values: np.ndarray, breaks: np.ndarray) -> np.ndarray:
+    """The smallest of ``values`` from the last break (itself included) up to each place."""
+    level = np.cumsum(breaks) * (4 * OPEN)
+    return np.minimum.accumulate(values - level) + level
+
+
+class Neighbours:
+    """Longest common contexts with the nearest rows of other documents, from rows in sorted order, batch by batch.
+
+    Two rows have in common what every two adjacent rows between them have, so over a run of one document's rows the
+    smallest of these numbers is carried along, downwards and upwards. Rows of the first and the last run of a part may
+    have their neighbour in another part: they are given with what the run leaves of it (``up``, ``down``).
+    """
+
+    def __init__(self):
+        self.last = None  # h, k1, k2, ctx and ``up`` of the row before
+        self.in_head = True  # no break yet: all rows so far are of the part's first run
+        self.waiting: list[list] = []  # the run that may go on: payload, up, head and what it leaves downwards
+        self.ends: list[tuple] = []  # (role, h, k1, k2, ctx): 0 first row, 1 after its run, 2 before the last run, 3 last row
+        self.before = None
+
+    def add(self, payload, h: np.ndarray, k1: np.ndarray, k2: np.ndarray, ctx: np.ndarray):
+        """Rows that are settled by a batch: (payload, up, head, down, tail) with whole or open numbers."""
+        n = len(h)
+        row = lambda i: (h[i], k1[i], k2[i], ctx[i])
+        adj, other = np.full(n, NONE, np.int64), np.ones(n, bool)
+        alike = (k1[1:] == k1[:-1]) & (k2[1:] == k2[:-1])
+        adj[1:] = np.where(alike, _common(ctx[1:], ctx[:-1]), NONE)
+        other[1:] = ~alike | (h[1:] != h[:-1])
+        if self.last is None:
+            self.ends.append((0, *row(0)))
+            adj[0] = OPEN
+        else:
+            ph, p1, p2, pc, carried = self.last
+            if p1 == k1[0] and p2 == k2[0]:
+                adj[0], other[0] = _common(ctx[:1], pc[None])[0], ph != h[0]
+        first = adj.copy()
+        if self.last is not None and not other[0]:
+            first[0] = min(first[0], carried)
+        up = _least(first, other)
+        breaks = np.flatnonzero(other[1:]) + 1
+        if self.last is not None and other[0]:
+            breaks = np.r_[0, breaks]
+        head = np.zeros(n, bool)
+        if self.in_head:
+            head[: breaks[0] if len(breaks) else n] = True
+            if len(breaks):
+                self.in_head = False
+                if adj[breaks[0]] >= 0:
+                    self.ends.append((1, *row(breaks[0])))
+        if len(breaks):
+            b = breaks[-1]
+            self.before = None if adj[b] < 0 else (row(b - 1) if b else self.last[:4])
+        # Downwards: what row i has in common with i + 1, and so on to the run's end.
+        below, end = np.r_[adj[1:], OPEN], np.r_[other[1:], True]
+        down = _least(below[::-1], end[::-1])[::-1]
+        whole = breaks[-1] if len(breaks) else 0  # rows from here on are of a run that may go on
+        out = []
+        if self.waiting:
+            beyond = adj[0] if other[0] else min(adj[0], down[0])
+            for w in self.waiting:
+                w[3] = np.minimum(w[3], beyond)
+            if len(breaks):
+                out += [(*w, False) for w in self.waiting]
+                self.waiting = []
+        if whole:
+            out.append((payload(0, whole), up[:whole], head[:whole], down[:whole], False))
+        self.waiting.append([payload(whole, n), up[whole:], head[whole:], down[whole:]])
+        self.last = (*row(n - 1), up[-1])
+        return out
+
+    def finish(self):
+        """The rows of the last run."""
+        if self.last is None:
+            return []
+        if self.before is not None:
+            self.ends.append((2, *self.before))
+        self.ends.append((3, *self.last[:4]))
+        return [(*w, True) for w in self.waiting]
+
+
+def _words_alike(a, b, side: int):
+    """_common for two columns of packed contexts."""
+    word = lambda c, i: F.substring(c, i * 8 + 1, F.lit(8))
+    differ = F.transform(F.sequence(F.lit(0), F.lit(side - 1)), lambda i: (word(a, i) != word(b, i)) | (word(a, i) == F.lit(bytes(8))))
+    at = F.array_position(differ, True).cast("int")
+    return F.when(at == 0, side).otherwise(at - 1)
+
+
+def _beyond_parts(ends: DataFrame, side: int) -> DataFrame:
+    """(bp, above, below): what the first row of a part has in common with the nearest row of another document in the
+    parts before, and its last row with the nearest in those after. By key, over at most four rows of each part."""
+    from pyspark.sql.window import WindowSpec
+
+    def nearest(df: DataFrame, w: WindowSpec, name: str) -> DataFrame:
+        df = df.withColumn("__c", F.when(F.lag("h").over(w) != F.col("h"), F.lag("ctx").over(w)))
+        return df.withColumn(name, F.last("__c", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("__c")
+
+    key = Window.partitionBy("k1", "k2")
+    ends = nearest(nearest(ends, key.orderBy("part", "role"), "a"), key.orderBy(F.desc("part"), F.desc("role")), "b")
+    common = lambda c, role: F.max(F.when((F.col("role") == role) & F.col(c).isNotNull(), _words_alike(F.col("ctx"), F.col(c), side)))
+    return ends.groupBy(F.col("part").alias("bp")).agg(common("a", 0).alias("above"), common("b", 3).alias("below"))
+
+
+NEIGHBOUR = "id {}, h long, pos int, ext int, part int, up int, down int, role int, k1 long, k2 long, ctx binary"
+#: Rows of a part of the sorted order; parts are read as streams, so this bounds a task's time, not its memory.
+PART_ROWS = 500_000
+
+
 def _neighbours(rows: DataFrame, column: str, side: int) -> DataFrame:
-    """(id, h, pos, ext): the longest run of words of ``column`` in common with a neighbour that has the same key."""
-    n = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // 200_000))
-    order = ["k1", "k2", column, "id", "h", "pos"]
+    """(id, h, pos, ext): the longest run of words of ``column`` in common with a row of another document that has the
+    same key. In sorted order that is one of the two nearest such rows."""
+    n = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // PART_ROWS))
+    order = ["k1", "k2", "ctx", "id", "h", "pos"]
     ordered = rows.select("id", "h", "pos", "k1", "k2", F.col(column).alias("ctx"))
-    order[2] = "ctx"
     ordered = ordered.repartitionByRange(n, *order).sortWithinPartitions(*order)
 
     def run(batches):
-        part, last, seen = TaskContext.get().partitionId(), None, None
+        part, found, kind = TaskContext.get().partitionId(), Neighbours(), None
+
+        def give(settled):
+            for (ids, hs, pos), up, head, down, tail in settled:
+                if not len(hs):
+                    continue
+                ext = np.maximum(0, np.maximum(np.where(head, 0, up), 0 if tail else down))
+                ints = lambda x, ok: pa.array(np.where(ok, x, 0).astype(np.int32), mask=~np.broadcast_to(ok, len(hs)))
+                here, last = np.full(len(hs), part), np.full(len(hs), tail)
+                empty = [pa.nulls(len(hs), t) for t in (pa.int32(), pa.int64(), pa.int64(), pa.binary())]
+                yield pa.RecordBatch.from_arrays([ids, hs, pos, pa.array(ext.astype(np.int32)), ints(here, head | last), ints(up, head), ints(down, last), *empty], names=NAMES)
+
         for b in batches:
-            # Equal rows of the table are one document, and no neighbours of each other.
-            h, at = np.asarray(b.column("h")), np.asarray(b.column("pos"))
-            new = np.r_[True, (h[1:] != h[:-1]) | (at[1:] != at[:-1])][: len(h)]
-            if len(h):
-                new[0] = seen != (h[0], at[0])
-                seen = (h[-1], at[-1])
-            b = b if new.all() else b.filter(pa.array(new))
             if not b.num_rows:
                 continue
-            k1, k2 = (np.asarray(b.column(c)) for c in ("k1", "k2"))
-            ctx = np.frombuffer(b"".join(b.column("ctx").to_pylist()), ">u4").reshape(-1, side)
-            if last is not None:
-                k1, k2, ctx = np.r_[last[0], k1], np.r_[last[1], k2], np.concatenate([last[2], ctx])
-            same = np.where((k1[1:] == k1[:-1]) & (k2[1:] == k2[:-1]), _common(ctx[1:], ctx[:-1]), 0)
-            shift = last is not None
-            up = same if shift else np.r_[0, same]
-            down = np.r_[same[shift:], 0]
-            ids, hs, pos = b.column("id"), b.column("h"), b.column("pos")
-            ext = np.maximum(up, down)
-            none = pa.nulls(b.num_rows, pa.int32())
-            yield pa.RecordBatch.from_arrays([ids, hs, pos, pa.array(ext.astype(np.int32)), none, pa.nulls(b.num_rows, pa.int64()), pa.nulls(b.num_rows, pa.int64()), pa.nulls(b.num_rows, pa.binary())], names=NAMES)
-            if shift and same[0] > 0:  # the row that ended the batch before gains by this one
-                yield _row(last[3], int(same[0]), None, None, None, None, b.schema)
-            if not shift:
-                yield _row((ids[0], hs[0], pos[0]), 0, part, int(k1[0]), int(k2[0]), ctx[:1].tobytes(), b.schema)
-            last = (k1[-1:], k2[-1:], ctx[-1:], (ids[-1], hs[-1], pos[-1]))
-        if last is not None:
-            yield _row(last[3], 0, part, int(last[0][0]), int(last[1][0]), last[2].tobytes(), b.schema)
-
-    kind = rows.schema["id"].dataType.simpleString()
+            kind = b.column("id").type
+            h, k1, k2 = (np.asarray(b.column(c)) for c in ("h", "k1", "k2"))
+            ctx = np.frombuffer(b"".join(b.column("ctx").to_pylist()), ">u8").reshape(-1, side)
+            # What waits is copied: a slice would hold its whole batch, contexts and all.
+            cut = lambda lo, hi, b=b: [b.column(c).take(pa.array(np.arange(lo, hi))) for c in ("id", "h", "pos")]
+            yield from give(found.add(cut, h, k1, k2, ctx))
+        yield from give(found.finish())
+        if found.ends:
+            role, h, k1, k2, ctx = zip(*found.ends, strict=True)
+            m = len(role)
+            longs, ints = (lambda x: pa.array(map(int, x), pa.int64())), lambda x: pa.array(x, pa.int32())
+            yield pa.RecordBatch.from_arrays([
+                pa.nulls(m, kind), longs(h), *[pa.nulls(m, pa.int32())] * 2, ints([part] * m), *[pa.nulls(m, pa.int32())] * 2, ints(role), longs(k1), longs(k2),
+                pa.array([c.tobytes() for c in ctx], pa.binary()),
+            ], names=NAMES)
+
     importable(rows.sparkSession)
-    found = materialize(ordered.mapInArrow(run, f"id {kind}, h long, pos int, ext int, part int, k1 long, k2 long, ctx binary"), "suffix-neighbours")
-    # First and last row of each part of the sorted order: two rows for each task that had rows.
-    cuts = sorted(found.filter("part is not null").collect(), key=lambda r: r["part"])
-    lasts, firsts, extra = {}, {}, []
-    for r in cuts:
-        key = (r["k1"], r["k2"], bytes(r["ctx"]))
-        firsts.setdefault(r["part"], (key, r))
-        lasts[r["part"]] = (key, r)
-    for r in cuts:  # a part's first row is the smaller of its two
-        key = (r["k1"], r["k2"], bytes(r["ctx"]))
-        if key < firsts[r["part"]][0]:
-            firsts[r["part"]] = (key, r)
-        if key > lasts[r["part"]][0]:
-            lasts[r["part"]] = (key, r)
-    parts = sorted(firsts)
-    for p, q in zip(parts, parts[1:], strict=False):
-        (ka, a), (kb, b) = lasts[p], firsts[q]
-        if ka[:2] == kb[:2]:
-            both = _common(np.frombuffer(ka[2], ">u4")[None], np.frombuffer(kb[2], ">u4")[None])[0]
-            extra += [(x["id"], x["h"], x["pos"], int(both)) for x in (a, b) if both]
-    whole = found.select("id", "h", "pos", "ext")
-    if extra:
-        whole = whole.union(rows.sparkSession.createDataFrame(extra, whole.schema))
-    out = whole.groupBy("id", "h", "pos").agg(F.max("ext").alias("ext"))
-    out._marlstone_path = found._marlstone_path
-    return out
+    found = materialize(ordered.mapInArrow(run, NEIGHBOUR.format(rows.schema["id"].dataType.simpleString())), "suffix-neighbours")
+    ends = found.filter("role is not null").select("part", "role", "h", "k1", "k2", "ctx")
+    beyond = materialize(_beyond_parts(ends, side), "suffix-parts")
+    out = found.filter("role is null").join(sized(beyond), F.col("part") == F.col("bp"), "left")
+    reach = lambda run, far: F.when(F.col(run).isNotNull() & F.col(far).isNotNull(), F.least(run, far))
+    return out.select("id", "h", "pos", F.greatest("ext", reach("up", "above"), reach("down", "below")).alias("ext"))
 
 
-NAMES = ["id", "h", "pos", "ext", "part", "k1", "k2", "ctx"]
+NAMES = ["id", "h", "pos", "ext", "part", "up", "down", "role", "k1", "k2", "ctx"]
 
 
-def _row(who, ext, part, k1, k2, ctx, schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([
-        pa.array([who[0].as_py()], schema.field("id").type), pa.array([who[1].as_py()], pa.int64()), pa.array([who[2].as_py()], pa.int32()),
-        pa.array([ext], pa.int32()), pa.array([part], pa.int32()), pa.array([k1], pa.int64()), pa.array([k2], pa.int64()), pa.array([ctx], pa.binary()),
-    ], names=NAMES)
+def _once(docs: DataFrame, id: str, text: str) -> DataFrame:
+    """(id, h, t): one row for each id and text; h is a hash of both and names the document."""
+    body = F.coalesce(F.col(text), F.lit(""))
+    rows = docs.select(F.col(id).alias("id"), F.xxhash64(F.col(id).cast("string"), body).alias("h"), body.alias("t"))
+    again = materialize(rows.groupBy("id", "h").count().filter("count > 1").select(F.col("id").alias("ri"), F.col("h").alias("rh")), "suffix-repeated")
+    if not again.limit(1).count():
+        return rows
+    hit, again = F.col("id").eqNullSafe(F.col("ri")) & (F.col("h") == F.col("rh")), sized(again)
+    one = rows.join(again, hit, "left_semi").groupBy("id", "h").agg(F.first("t").alias("t"))
+    return materialize(rows.join(again, hit, "left_anti").unionByName(one), "suffix-documents")
 
 
 def repeated_passages(docs: DataFrame, id: str = "doc_id", text: str = "text", min_words: int = 50, window: int = 20) -> DataFrame:
     """(id, n_repeated, spans) of each document with repeated passages: spans are ranges of words, start to end."""
     depth = min_words - window + 1
-    body = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(F.col(id).alias("id"), F.xxhash64(F.col(id).cast("string"), body).alias("h"), body.alias("t"))
+    rows = _once(docs, id, text)
     every = materialize(_positions(rows, "t", window, depth), "suffix-positions")
     keys = every.groupBy("k1", "k2").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).filter("lo < hi")
     keys = materialize(keys.select(F.col("k1").alias("a1"), F.col("k2").alias("a2")), "suffix-keys")

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 from marlstone.llm import jaccard_join as J
+from marlstone.llm import suffix_dedup as S
 from marlstone.llm.components import connected_components
 from marlstone.llm.jaccard_join import jaccard_classes, keep_one_per_class
 from marlstone.llm.queries import op6_suffix_dedup, op9_jaccard_join
@@ -188,6 +189,66 @@ def test_nested_and_shifted_passages_are_found_whole(spark):
     check(repeated_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect(), docs)
 
 
+def test_repeats_inside_a_document_are_no_neighbours(spark):
+    """A passage of 42 words is too short, though one document has it twice in the same surroundings."""
+    x, k, y = passage(31, 19), passage(32, 42), passage(33, 19)
+    docs = [(1, " ".join([passage(34, 20), x, k, y, passage(35, 31), x, k, y])), (2, f"{passage(36, 30)} {k} {passage(37, 30)}")]
+    assert repeated_passages(spark.createDataFrame(docs, "doc_id long, text string")).count() == 0
+
+
+@pytest.mark.parametrize("part_rows", [7, 500_000])
+def test_passages_and_internal_repeats(spark, part_rows, monkeypatch):
+    """Shared passages beside repeats inside documents: all of every long passage, nothing that is in no shared one."""
+    monkeypatch.setattr(S, "PART_ROWS", part_rows)
+    r, docs = random.Random(part_rows), []
+    pool = [passage(40_000 + i, r.choice([20, 31, 42, 49, 50, 55, 70, 120])) for i in range(60)]
+    for d in range(120):
+        own = [passage(50_000 + 10 * d + j, r.randint(5, 60)) for j in range(3)]
+        own += [f"{a} {b} {c}" for a, b, c in [(own[0], r.choice(pool), own[1])]] * r.randint(0, 2)
+        pieces = [r.choice(own) if r.random() < 0.5 else r.choice(pool) for _ in range(r.randint(1, 9))]
+        docs.append((d, " ".join(pieces)))
+    docs += [docs[0], docs[3], (5, docs[6][1])]
+    got = defaultdict(set)
+    for row in repeated_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect():
+        for s in row["spans"]:
+            got[(row["doc_id"], row["h"])].update(range(s["start"], s["end"]))
+    most, least = cover(docs, 50), cover(docs, 31)
+    by_id = defaultdict(list)
+    for (d, _), s in got.items():
+        by_id[d].append(s)
+    for d in set(docs):
+        assert not most[d] or any(most[d] <= s for s in by_id[d[0]]), d[0]
+    for d, spans in by_id.items():
+        assert all(any(s <= least[x] for x in set(docs) if x[0] == d) for s in spans), d
+
+
+def test_neighbours_in_a_stream():
+    """Against all rows of the same key, with any cut into parts and batches."""
+    for trial in range(400):
+        r = random.Random(trial)
+        rows = sorted((r.randrange(2), tuple(r.randrange(3) for _ in range(4)), r.randrange(3), i) for i in range(r.randint(1, 25)))
+        cuts = sorted({0, len(rows), *[r.randrange(len(rows) + 1) for _ in range(2)]})
+        got = {}
+        for lo, hi in zip(cuts, cuts[1:]):
+            found, settled, i = S.Neighbours(), [], lo
+            while i < hi:
+                b = rows[i : min(hi, i + r.randint(1, 5))]
+                key, ctx, h = (np.array([x[j] for x in b]) for j in (0, 1, 2))
+                settled += found.add(lambda a, z, b=b: [x[3] for x in b[a:z]], h, key, key, ctx.astype(np.uint64))
+                i += len(b)
+            for ids, up, head, down, tail in [*settled, *found.finish()]:
+                got.update({q: (u, e, d, tail, lo, hi) for q, u, e, d in zip(ids, up, head, down)})
+        assert len(got) == len(rows)
+        for n, (key, ctx, h, q) in enumerate(rows):
+            up, head, down, tail, lo, hi = got[q]
+            for at, value, far in ((range(n - 1, lo - 1, -1), up, head), (range(n + 1, hi), down, tail)):
+                first = next((m for m in at if rows[m][0] != key or rows[m][2] != h), None)
+                assert (first is None) == bool(far)
+                if first is not None:
+                    same = S._common(np.array([ctx], np.uint64), np.array([rows[first][1]], np.uint64))[0]
+                    assert value == (same if rows[first][0] == key else S.NONE)
+
+
 def test_passages_of_odd_rows(spark, odd, none):
     rows = repeated_passages(odd).collect()
     assert {r["doc_id"] for r in rows} == {1, 4, 5, 6}
