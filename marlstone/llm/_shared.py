@@ -5,50 +5,78 @@ from __future__ import annotations
 import contextlib
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows a broadcast side may have (about 64 bytes each, so at most some 32 MB).
-BROADCAST_ROWS = 500_000
+#: Rows and bytes (on disk, compressed) a broadcast side may have.
+BROADCAST_ROWS, BROADCAST_BYTES = 500_000, 32 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a temporary one where that is unset (tests)."""
+    """The folder all executors share: spark.checkpoint.dir. Where that is unset and all executors run on the driver's own
+    machine (tests), a temporary one; a cluster without a shared folder is an error."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         at = "file://" + tempfile.mkdtemp(prefix="marlstone-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
 
 
+#: Tables written inside each ``settle`` that is under way.
+_open: list[list[str]] = []
+
+
+def note(df: DataFrame, path: str) -> DataFrame:
+    """Remember where a frame's files are, so that they can be deleted."""
+    df._marlstone_path = path
+    if _open:
+        _open[-1].append(path)
+    return df
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and return a frame that reads it: lineage ends here, lost executors don't matter."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/marlstone/{name}-{uuid.uuid4().hex}"
     trim()
     df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._marlstone_path = path
-    return out
+    return note(spark.read.schema(df.schema).parquet(path), path)
+
+
+def settle(make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """What ``make`` gives, written; the tables that were written on the way are deleted."""
+    _open.append([])
+    try:
+        out = materialize(make(), name)
+    finally:
+        written = _open.pop()
+    for path in written:
+        if path != out._marlstone_path:
+            _delete(out.sparkSession, path)
+    return note(out, out._marlstone_path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def release(df: DataFrame) -> None:
     """Delete a materialized frame's files once nothing will read them again."""
     path = getattr(df, "_marlstone_path", None)
     if path:
-        jvm = df.sparkSession._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
+        _delete(df.sparkSession, path)
 
 
 def clear(spark: SparkSession) -> None:
     """Delete all written intermediate tables: once the results that read them are written themselves."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/marlstone")
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    _delete(spark, f"{shared_dir(spark)}/marlstone")
 
 
 def sized(df: DataFrame, rows: int | None = None, limit: int = BROADCAST_ROWS) -> DataFrame:

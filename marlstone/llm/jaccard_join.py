@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import NOT_SPACE, annotate, gram_hashes, importable, materialize, mix, release, sized, slices, text_buffers, trim, word_hashes, words
+from ._shared import NOT_SPACE, annotate, gram_hashes, importable, materialize, mix, release, settle, sized, slices, text_buffers, trim, word_hashes, words
 from .components import connected_components
 
 #: Index entries a bucket should hold, nodes of a group from which on it counts as shared by very many, first-round segments.
@@ -444,6 +444,10 @@ def _large_groups(left: DataFrame, texts: DataFrame, n: int, percent: int) -> Da
 
 def jaccard_classes(docs: DataFrame, id: str = "doc_id", text: str = "text", n: int = 5, percent: int = 75) -> DataFrame:
     """One row per input row: id, n_shingles, component_id (the smallest id that links reach)."""
+    return settle(lambda: _classes(docs, id, text, n, percent), "jaccard-classes")
+
+
+def _classes(docs: DataFrame, id: str, text: str, n: int, percent: int) -> DataFrame:
     rows = materialize(describe(docs, id, text, n, percent).withColumnRenamed(id, "__id"), "jaccard-rows")
     real = rows.filter(F.length("node") > 0)
     nodes = real.groupBy("node").agg(F.min("__id").alias("rep"), F.first("first").alias("first"), F.max("n_shingles").alias("n"))

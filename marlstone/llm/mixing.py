@@ -1,193 +1,211 @@
 """Mixing sources to target weights by Pfair scheduling, with DataFrame functions only.
 
-Every source's documents are cut into blocks. Block i (from 1) of a source with weight w is released at floor((i - 1) / w)
-and due at ceil(i / w); in every slot the released block with the earliest deadline goes out. With weights that add up to
-one, each source is then less than one block away from its share after every slot. When a source is used up, the others
-go on with their weights scaled up: the next phase.
-
-Windows come from the exact target weights as fractions. Only where the blocks left are so few that weights rounded to
-``resolution`` parts lead no source away by a whole block in all of them, the rounded weights are used: there the bound
-is two blocks. Weights that add up to ``resolution`` or less repeat their pattern of slots, which is then all the table
-of the phase. Others don't: the driver works out a slot for each block, four bytes a block in the table.
-
-Documents are numbered inside their source by (hash bucket, hash, id): buckets split a source of any size over many
-tasks, and the offsets come from the counts of the buckets. No window spans a whole source.
-
-Defined results: every row gets exactly one place; a null source is a source of its own; equal rows take
-neighbouring places; an empty table gives an empty result; extra columns pass through.
+Every source's documents are cut into blocks. The ideal mix, which knows no blocks, serves all sources at once, at rates in
+the proportion of their target weights; when one is used up, the others go on, faster in the same proportion. A block is
+released in the slot in which the ideal mix begins it and due by the end of the slot in which the ideal mix ends it; in
+every slot the released block with the earliest deadline goes out. The ideal mix serves one block a slot in all, so there
+is a schedule that keeps all windows, and this one does: after every slot each source is less than one block away from its
+share, to the end of the mix. Windows are worked out in whole numbers from the exact weights, without rounding.
+
+The driver gets one row for each source (its size) and works out the schedule: some three millionths of a second a block,
+a few kilobytes a source at once. It writes the slots in pieces of ``PIECE`` blocks to a table, eight bytes a block, which
+documents join by source and piece. ``block_docs`` sets the number of blocks: a corpus of billions of documents wants larger
+blocks than 16.
+
+Documents are numbered inside their source by (hash bucket, hash), the hash being of the id and all other columns: buckets
+split a source of any size over many tasks, also one whose ids are all null or the same. Where a bucket is overfull, equal
+rows are the cause; they are first counted by partial aggregates, numbered as one, and dealt out again. The offsets
+come from the counts of the buckets, of which a source has 2^20 at most.
+
+Defined results: every row gets exactly one place; a null source is a source of its own; null ids are an id like any other;
+equal rows take neighbouring places; an empty table gives an empty result; texts of any length pass through unread but for
+the hash; input columns named mix_slot, mix_offset or mix_position are replaced, all others pass through, whatever their
+names.
 """
 
 from __future__ import annotations
 
 import heapq
+import uuid
 from array import array
+from collections.abc import Iterator
 from fractions import Fraction
 from math import gcd, lcm
 
-import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ._shared import materialize, sized
-
-#: Blocks in a row of the table, for weights that don't repeat.
-PIECE = 8192
-
-
-def integer_weights(weights: dict, resolution: int) -> dict:
-    """Positive weights as integers that add up to ``resolution`` (largest remainders, one at least)."""
-    total = sum(weights.values())
-    exact = {k: w * resolution / total for k, w in weights.items()}
-    out = {k: max(1, int(x)) for k, x in exact.items()}
-    order = sorted(weights, key=lambda k: (-(exact[k] - int(exact[k])), str(k)))
-    left = resolution - sum(out.values())
-    for i in range(left):
-        out[order[i % len(order)]] += 1
-    while left < 0:
-        k = max((k for k in out if out[k] > 1), key=lambda k: (out[k] - exact[k], str(k)))
-        out[k] -= 1
-        left += 1
-    return out
-
-
-def drift(weights: dict, near: dict) -> Fraction:
-    """Blocks a slot by which rounded weights lead a source away from its target, at most."""
-    total, size = sum(weights.values()), sum(near.values())
-    return max(abs(Fraction(weights[k], total) - Fraction(near[k], size)) for k in weights)
+from ._shared import materialize, note, shared_dir, sized
 
-
-def pfair_pattern(weights: dict) -> dict:
-    """Slots of each source in one period of sum(weights) slots: earliest deadline first among released blocks."""
-    period = sum(weights.values())
-    slots: dict = {k: [] for k in weights}
-    waiting, ready = [], []
-    names = sorted(weights, key=str)
-
-    def window(n: int, i: int) -> tuple[int, int]:
-        w = Fraction(weights[names[n]], period)
-        return (i - 1) * w.denominator // w.numerator, -(-i * w.denominator // w.numerator)
-
-    for n in range(len(names)):
-        heapq.heappush(waiting, (0, n, 1))
-    for t in range(period):
-        while waiting and waiting[0][0] <= t:
-            _, n, i = heapq.heappop(waiting)
-            heapq.heappush(ready, (window(n, i)[1], n, i))
-        _, n, i = heapq.heappop(ready)
-        slots[names[n]].append(t)
-        if i < weights[names[n]]:
-            heapq.heappush(waiting, (window(n, i + 1)[0], n, i + 1))
-    return slots
+#: Blocks in a row of the table of slots; slots that the driver holds before it writes them; slots that are broadcast.
+PIECE, WRITE, BROADCAST_SLOTS = 1024, 1 << 20, 1 << 22
+#: Equal rows that one task deals out at a time.
+DEAL = 1 << 16
+SLOTS = "ps string, piece long, slots array<long>"
+ADDED = ("mix_slot", "mix_offset", "mix_position")
 
 
 def exact_weights(weights: dict) -> dict:
     """Positive weights as the smallest integers in exactly their ratios."""
     exact = {k: Fraction(w) for k, w in weights.items()}
+    if any(w <= 0 for w in exact.values()):
+        raise ValueError("weights must be positive")
     scale = lcm(*(w.denominator for w in exact.values()))
     whole = {k: int(w * scale) for k, w in exact.items()}
     common = gcd(*whole.values())
     return {k: w // common for k, w in whole.items()}
 
 
-def pfair_run(blocks: dict, weights: dict) -> dict:
-    """Slots of each source, earliest deadline first among released blocks, until one source has placed all its blocks."""
-    total, names = sum(weights.values()), sorted(weights, key=str)
-    slots = [array("q") for _ in names]
-    w, size = [weights[k] for k in names], [blocks[k] for k in names]
-    waiting, ready, t = [(0, n, 1) for n in range(len(names))], [], 0
-    while True:
+class Ideal:
+    """The mix without blocks. At virtual time v a source has given min(weight * v, size) blocks; all of them together
+    have given as many as slots have passed."""
+
+    def __init__(self, blocks: dict, weights: dict):
+        exact = exact_weights({k: weights[k] for k, n in blocks.items() if n > 0})
+        self.names = sorted(exact, key=lambda k: (k is None, str(k)))
+        self.w, self.n = [exact[k] for k in self.names], [blocks[k] for k in self.names]
+        order = sorted(range(len(self.names)), key=lambda j: Fraction(self.n[j], self.w[j]))
+        self.end_n, self.end_w = [self.n[j] for j in order], [self.w[j] for j in order]
+        #: By the number of sources that are used up: their blocks, and the weight of the others.
+        self.given, self.rate = [0], [sum(self.w)]
+        for n, w in zip(self.end_n, self.end_w, strict=True):
+            self.given.append(self.given[-1] + n)
+            self.rate.append(self.rate[-1] - w)
+
+    def used_up(self, least: int, i: int, w: int) -> int:
+        """How many sources are used up at virtual time i / w; ``least`` is known to be."""
+        if least == len(self.end_n) or self.end_n[least] * w > i * self.end_w[least]:
+            return least
+        lo, hi = least + 1, len(self.end_n)
+        while lo < hi:
+            mid = (lo + hi) // 2
+            if self.end_n[mid] * w <= i * self.end_w[mid]:
+                lo = mid + 1
+            else:
+                hi = mid
+        return lo
+
+    def slots(self, s: int, i: int, w: int) -> tuple[int, int]:
+        """Slots that have passed at virtual time i / w, as a fraction, when ``s`` sources are used up."""
+        return self.given[s] * w + i * self.rate[s], w
+
+
+def pfair(ideal: Ideal) -> Iterator[int]:
+    """The source of every slot: earliest deadline first among released blocks."""
+    waiting: list[tuple[int, int, int]] = []
+    ready: list[tuple[int, int]] = []
+    done, used = [0] * len(ideal.names), [0] * len(ideal.names)
+
+    def window(j: int) -> tuple[int, int]:
+        """Release and deadline of a source's next block."""
+        i, w = done[j], ideal.w[j]
+        begin, unit = ideal.slots(used[j], i, w)
+        used[j] = ideal.used_up(used[j], i + 1, w)
+        end, _ = ideal.slots(used[j], i + 1, w)
+        return begin // unit, -(-end // unit)
+
+    for j in range(len(ideal.names)):
+        heapq.heappush(ready, (window(j)[1], j))
+    for t in range(ideal.given[-1]):
         while waiting and waiting[0][0] <= t:
-            _, n, i = heapq.heappop(waiting)
-            heapq.heappush(ready, (-(-i * total // w[n]), n, i))
-        _, n, i = heapq.heappop(ready)
-        slots[n].append(t)
-        if i == size[n]:
-            return dict(zip(names, slots, strict=True))
-        heapq.heappush(waiting, (i * total // w[n], n, i + 1))
-        t += 1
-
-
-def plan(blocks: dict, weights: dict, resolution: int = 1000) -> list[tuple]:
-    """(source, phase, first block, blocks, start slot, period, weight, slots of a period) until every block has a slot.
-
-    Where no period is repeated, rows hold up to PIECE blocks, with all their slots.
-    """
-    left, done, at, phase, out = {k: n for k, n in blocks.items() if n > 0}, dict.fromkeys(blocks, 0), 0, 0, []
-    while left:
-        w = exact_weights({k: weights[k] for k in left})
-        near = integer_weights(w, max(resolution, 10 * len(w)))
-        if drift(w, near) * sum(left.values()) < 1:
-            w = near
-        period = sum(w.values())
-        if period <= max(resolution, 10 * len(w)):
-            pattern = pfair_pattern(w)
-            slot = lambda k, i: i // w[k] * period + pattern[k][i % w[k]]
-            end = min(slot(k, n - 1) for k, n in left.items()) + 1
-            whole, rest = divmod(end, period)
-            used = {k: whole * w[k] + sum(s < rest for s in pattern[k]) for k in left}
-            out += [(k, phase, done[k], used[k], at, period, w[k], pattern[k]) for k in sorted(left, key=str) if used[k]]
-        else:
-            slots = pfair_run(left, w)
-            used = {k: len(s) for k, s in slots.items()}
-            end = sum(used.values())
-            for k, s in slots.items():
-                for lo in range(0, len(s), PIECE):
-                    part = s[lo : lo + PIECE]
-                    out.append((k, phase, done[k] + lo, len(part), at + part[0], end, len(part), array("i", [x - part[0] for x in part])))
-        for k, n in used.items():
-            left[k] -= n
-            done[k] += n
-        left, at, phase = {k: n for k, n in left.items() if n}, at + end, phase + 1
-    return out
+            _, due, j = heapq.heappop(waiting)
+            heapq.heappush(ready, (due, j))
+        _, j = heapq.heappop(ready)
+        yield j
+        done[j] += 1
+        if done[j] < ideal.n[j]:
+            release, due = window(j)
+            heapq.heappush(waiting, (release, due, j))
+
+
+def pieces(ideal: Ideal) -> Iterator[tuple]:
+    """(source, piece, slots): the slots of up to PIECE consecutive blocks of a source."""
+    open_, number = [array("q") for _ in ideal.names], [0] * len(ideal.names)
+    for t, j in enumerate(pfair(ideal)):
+        open_[j].append(t)
+        if len(open_[j]) == PIECE:
+            yield ideal.names[j], number[j], open_[j].tolist()
+            open_[j], number[j] = array("q"), number[j] + 1
+    for j, left in enumerate(open_):
+        if left:
+            yield ideal.names[j], number[j], left.tolist()
+
+
+def _schedule(spark: SparkSession, blocks: dict, weights: dict) -> DataFrame:
+    """The table of slots, written a bounded part at a time."""
+    path, rows, held = f"{shared_dir(spark)}/marlstone/mix-slots-{uuid.uuid4().hex}", [], 0
+
+    def write() -> None:
+        spark.createDataFrame(rows, SLOTS, verifySchema=False).coalesce(1).write.mode("append").parquet(path)
+
+    for row in pieces(Ideal(blocks, weights)):
+        rows.append(row)
+        held += len(row[2])
+        if held >= WRITE:
+            write()
+            rows, held = [], 0
+    write()
+    return note(spark.read.schema(SLOTS).parquet(path), path)
+
+
+def _dealt(rows: DataFrame) -> DataFrame:
+    """A row for each of the ``__copies`` of a row, numbered from __n on, a bounded number in one task."""
+    last = F.col("__n") + F.col("__copies") - 1
+    parts = rows.withColumn("__n", F.col("__n").cast("long")).filter("__copies > 1").withColumn("__last", last).withColumn("__n", F.explode(F.sequence("__n", last, F.lit(DEAL).cast("long"))))
+    return parts.repartition("__h", "__n").withColumn("__n", F.explode(F.sequence("__n", F.least("__last", F.col("__n") + DEAL - 1)))).drop("__copies", "__last")
 
 
 def mix_sources(
     docs: DataFrame, weights: dict | None = None, block_docs: int = 16, id: str = "doc_id", source: str = "source",
-    alpha: float = 0.5, seed: int = 7, resolution: int = 1000, max_sources: int = 1000, bucket_rows: int = 500,
+    alpha: float = 0.5, seed: int = 7, bucket_rows: int = 500,
 ) -> DataFrame:
     """All rows of ``docs`` with mix_slot, mix_offset and mix_position, the place in the mixed order.
 
-    ``weights`` maps sources to positive target weights (sources that it lacks get the smallest of them); without it a
-    source's weight is its number of documents to the power ``alpha``. ``block_docs`` documents fill a block;
-    mix_position = mix_slot * block_docs + mix_offset grows along the mix and is unique. The number of sources is
-    checked against ``max_sources``.
+    ``weights`` maps sources, as text, to positive target weights (sources that it lacks get the smallest of them); without
+    it a source's weight is its number of documents to the power ``alpha``. ``block_docs`` documents fill a block;
+    mix_position = mix_slot * block_docs + mix_offset grows along the mix and is unique.
     """
     spark = docs.sparkSession
-    counts = docs.groupBy(F.col(source).alias("s")).count().limit(max_sources + 1).collect()  # a row per source
-    if len(counts) > max_sources:
-        raise ValueError(f"more than {max_sources} sources")
-    sizes = {r["s"]: r["count"] for r in counts}
-    if weights is None:
+    s = F.col(f"`{source}`").cast("string")
+    sizes = {r["s"]: r["count"] for r in docs.groupBy(s.alias("s")).count().collect()}  # a row for each source
+    if weights:
+        weights = {k: weights.get(k, min(weights.values())) for k in sizes}
+    else:
         weights = {k: n**alpha for k, n in sizes.items()}
-    weights = {k: weights.get(k, min(weights.values())) for k in sizes}
-    table = plan({k: -(-n // block_docs) for k, n in sizes.items()}, weights, resolution)
+    blocks = {k: -(-n // block_docs) for k, n in sizes.items()}
+    slots = _schedule(spark, blocks, weights)
 
     buckets = min(1 << 20, max(8, -(-max(sizes.values(), default=1) // bucket_rows)))
-    h = F.xxhash64(F.lit(seed), F.col(id).cast("string"))
+    kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
+    # Maps and variants have no hash of their own.
+    hashed = [F.to_json(F.struct(F.col(f"`{c}`"))) if "map<" in kind or "variant" in kind else F.col(f"`{c}`") for c, kind in kinds.items()]
     struct = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc")
-    rows = docs.select(struct, F.col(source).alias("__s"), F.col(id).alias("__id"), h.alias("__h"))
+    rows = docs.select(struct, s.alias("__s"), F.xxhash64(F.lit(seed), F.col(f"`{id}`").cast("string"), *hashed).alias("__h"))
     rows = rows.withColumn("__b", F.pmod(F.shiftright("__h", 7), F.lit(buckets)))
-    # Rows that share a bucket's hash and id are interchangeable or tie by their columns' hash.
-    tie = F.xxhash64(*[F.col(f"__doc.`{c}`") for c in docs.columns if docs.schema[c].dataType.typeName() not in ("map", "variant")])
     per = rows.groupBy("__s", "__b").count()
     before = Window.partitionBy("__s").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = materialize(per.select(F.col("__s").alias("__os"), F.col("__b").alias("__ob"), F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__before")), "mix-offsets")
-    inside = Window.partitionBy("__s", "__b").orderBy("__h", "__id", "__tie")
-    ranked = rows.withColumn("__tie", tie).withColumn("__n", F.row_number().over(inside))
-    on = F.col("__s").eqNullSafe(F.col("__os")) & (F.col("__b") == F.col("__ob"))
-    placed = ranked.join(sized(offsets), on).withColumn("__k", F.col("__before") + F.col("__n") - 1)
-    placed = placed.withColumn("__block", F.floor(F.col("__k") / block_docs).cast("long"))
-    names = ["ps", "phase", "first", "blocks", "start", "period", "weight", "slots"]
-    kinds = [pa.string(), pa.int32(), *[pa.int64()] * 5, pa.list_(pa.int32())]
-    typed = [(k if k is None else str(k), *r) for k, *r in table]
-    columns = [pa.array([r[i] for r in typed], kind) for i, kind in enumerate(kinds)]
-    phases = spark.createDataFrame(pa.Table.from_arrays(columns, names=names))
-    # From the weights alone where they repeat, else four bytes a block.
-    on = F.col("__s").cast("string").eqNullSafe(F.col("ps")) & F.col("__block").between(F.col("first"), F.col("first") + F.col("blocks") - 1)
-    i = F.col("__block") - F.col("first")
-    cycle = F.floor(i / F.col("weight")).cast("long")
-    slot = F.col("start") + cycle * F.col("period") + F.get("slots", (i % F.col("weight")).cast("int"))
-    out = placed.join(F.broadcast(phases) if len(typed) <= 20_000 else phases, on)
-    offset = (F.col("__k") % block_docs).cast("long")
-    return out.select("__doc.*", slot.cast("long").alias("mix_slot"), offset.alias("mix_offset"), (slot * block_docs + offset).cast("long").alias("mix_position"))
+    offsets = per.select(F.col("__s").alias("__os"), F.col("__b").alias("__ob"), "count", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__before"))
+    offsets = materialize(offsets, "mix-offsets")
+
+    inside = Window.partitionBy("__s", "__b").orderBy("__h")
+    here = lambda x, y: F.col("__s").eqNullSafe(F.col(x)) & (F.col("__b") == F.col(y))
+    over = materialize(offsets.filter(F.col("count") > 8 * bucket_rows).select(F.col("__os").alias("__fs"), F.col("__ob").alias("__fb")), "mix-overfull")
+    if over.limit(1).count():
+        # Rows that share a hash are equal and interchangeable: they are counted, numbered as one, and dealt out again.
+        heavy = rows.select("__s", "__b", "__h").join(sized(over), here("__fs", "__fb"), "left_semi").groupBy("__s", "__h").count().filter(F.col("count") > bucket_rows)
+        heavy = sized(materialize(heavy.select(F.col("__s").alias("__hs"), F.col("__h").alias("__hh")), "mix-heavy"))
+        same = F.col("__s").eqNullSafe(F.col("__hs")) & (F.col("__h") == F.col("__hh"))
+        many = rows.join(heavy, same, "left_semi").groupBy("__s", "__b", "__h").agg(F.first("__doc").alias("__doc"), F.count("*").alias("__copies"))
+        rows = rows.join(heavy, same, "left_anti").withColumn("__copies", F.lit(1).cast("long")).unionByName(many)
+        rows = rows.withColumn("__n", F.sum("__copies").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("__copies"))
+        ranked = rows.filter("__copies = 1").drop("__copies").unionByName(_dealt(rows))
+    else:
+        ranked = rows.withColumn("__n", F.row_number().over(inside) - 1)
+    placed = ranked.join(sized(offsets.drop("count")), here("__os", "__ob")).withColumn("__k", F.col("__before") + F.col("__n"))
+    block = F.floor(F.col("__k") / block_docs).cast("long")
+    on = F.col("__s").eqNullSafe(F.col("ps")) & (F.floor(block / PIECE).cast("long") == F.col("piece"))
+    out = placed.join(F.broadcast(slots) if sum(blocks.values()) <= BROADCAST_SLOTS else slots.hint("merge"), on)
+    slot, offset = F.get("slots", (block % PIECE).cast("int")), F.col("__k") % block_docs
+    kept = [F.col(f"__doc.`{c}`") for c in docs.columns if c.lower() not in ADDED]
+    return out.select(*kept, slot.alias("mix_slot"), offset.cast("long").alias("mix_offset"), (slot * block_docs + offset).cast("long").alias("mix_position"))

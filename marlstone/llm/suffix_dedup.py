@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ._shared import NOT_SPACE, annotate, gram_hashes, importable, materialize, mix, release, sized, slices, text_buffers, word_hashes, words
+from ._shared import NOT_SPACE, annotate, gram_hashes, importable, materialize, mix, release, settle, sized, slices, text_buffers, word_hashes, words
 
 GRAM = 4
 U = np.uint64
@@ -316,7 +316,11 @@ def _once(docs: DataFrame, id: str, text: str) -> DataFrame:
 
 
 def repeated_passages(docs: DataFrame, id: str = "doc_id", text: str = "text", min_words: int = 50, window: int = 20) -> DataFrame:
-    """(id, n_repeated, spans) of each document with repeated passages: spans are ranges of words, start to end."""
+    """(id, h, n_repeated, spans) of each document with repeated passages: spans are ranges of words, start to end."""
+    return settle(lambda: _repeated(docs, id, text, min_words, window), "suffix-spans")
+
+
+def _repeated(docs: DataFrame, id: str, text: str, min_words: int, window: int) -> DataFrame:
     depth = min_words - window + 1
     rows = _once(docs, id, text)
     every = materialize(_positions(rows, "t", window, depth), "suffix-positions")

@@ -1,4 +1,3 @@
-import math
 from collections import Counter
 from fractions import Fraction
 
@@ -42,45 +41,94 @@ def test_collisions_are_split_by_bytes(odd, monkeypatch):
     assert exact_dedup(odd).count() == len(by)
 
 
+def shares(blocks, weights, slots):
+    """What each source should have had after so many slots, as fractions: by serving all at once, step by step."""
+    w, left, had = {k: Fraction(weights[k]) for k in blocks}, {k: Fraction(n) for k, n in blocks.items()}, dict.fromkeys(blocks, Fraction(0))
+    out, t = [dict(had)], Fraction(0)
+    while len(out) <= slots:
+        active = {k for k in blocks if left[k] > 0}
+        if not active:
+            break
+        total = sum(w[k] for k in active)
+        step = min([len(out) - t] + [left[k] * total / w[k] for k in active])
+        for k in active:
+            had[k] += step * w[k] / total
+            left[k] -= step * w[k] / total
+        t += step
+        if t == len(out):
+            out.append(dict(had))
+    return out
+
+
+def plain_schedule(blocks, weights):
+    """Earliest deadline first with windows looked up slot by slot."""
+    names = sorted((k for k in blocks if blocks[k]), key=str)
+    total = sum(blocks.values())
+    had = shares({k: blocks[k] for k in names}, weights, total)
+    windows = {}
+    for k in names:
+        for i in range(blocks[k]):
+            release = max(t for t in range(total) if had[t][k] <= i)
+            due = min(t for t in range(total + 1) if had[t][k] >= i + 1)
+            windows[(k, i)] = (release, due)
+    done, out = dict.fromkeys(names, 0), []
+    for t in range(total):
+        ready = [(windows[(k, done[k])][1], n, k) for n, k in enumerate(names) if done[k] < blocks[k] and windows[(k, done[k])][0] <= t]
+        due, _, k = min(ready)
+        assert due > t, "a deadline is missed"
+        out.append(k)
+        done[k] += 1
+    return out
+
+
 @settings(max_examples=60, deadline=None)
-@given(st.dictionaries(st.integers(0, 30), st.floats(0.01, 100), min_size=1, max_size=12))
-def test_pattern_stays_within_one_block(weights):
-    w = mixing.integer_weights(weights, 200)
-    assert sum(w.values()) == 200 and min(w.values()) >= 1
-    slots = mixing.pfair_pattern(w)
-    assert sorted(t for s in slots.values() for t in s) == list(range(200))
-    for k, s in slots.items():
-        share, done = Fraction(w[k], 200), 0
-        for t in range(200):
-            done += t in s
-            assert abs(done - share * (t + 1)) < 1
-
-
-@settings(max_examples=40, deadline=None)
-@given(st.dictionaries(st.integers(0, 9), st.integers(0, 400), min_size=1, max_size=8))
-def test_plan_gives_every_block_one_slot(blocks):
-    w = mixing.integer_weights(dict.fromkeys(blocks, 1.0) | {next(iter(blocks)): 3.0}, 100)
-    seen = {}
-    for k, _, first, n, at, period, weight, pattern in mixing.plan(blocks, w):
-        for i in range(n):
-            seen[(k, first + i)] = at + i // weight * period + pattern[i % weight]
-    assert len(seen) == sum(blocks.values()) == len(set(seen.values()))
-    assert sorted(seen.values()) == list(range(len(seen)))
-
-
-@pytest.mark.parametrize("weights", [{f"s{i}": (15_000 + 10_833 * i) ** 0.5 for i in range(7)}, {"big": 1.0, "small": 0.0004, "mid": 0.31}, {"a": 3, "b": 1, "c": 1}])
-def test_plan_stays_within_one_block_of_the_unrounded_weights(weights):
-    blocks = {k: 60_000 if w >= 1 else int(60_000 * w) + 5 for k, w in weights.items()}
-    table = mixing.plan(blocks, weights)
-    slots = sorted((at + i // w * period + pattern[i % w], k) for k, phase, _, n, at, period, w, pattern in table if phase == 0 for i in range(n))
-    assert len(slots) > 60_000 and [t for t, _ in slots] == list(range(len(slots)))
-    total, done = sum(map(Fraction, weights.values())), Counter()
-    share = {k: Fraction(w) / total for k, w in weights.items()}
-    unit = math.lcm(*(x.denominator for x in share.values()))  # whole numbers: exact, and fast
-    share = {k: int(x * unit) for k, x in share.items()}
-    for t, k in slots:
+@given(st.dictionaries(st.sampled_from("abcdefg"), st.tuples(st.integers(0, 40), st.floats(0.01, 100)), min_size=1, max_size=6))
+def test_schedule_equals_a_plain_one_and_stays_within_one_block(sources):
+    blocks, weights = {k: n for k, (n, _) in sources.items()}, {k: w for k, (_, w) in sources.items()}
+    ideal = mixing.Ideal(blocks, weights)
+    got = [ideal.names[j] for j in mixing.pfair(ideal)]
+    assert got == plain_schedule(blocks, weights)
+    had, done = shares({k: n for k, n in blocks.items() if n}, weights, len(got)), Counter()
+    for t, k in enumerate(got, 1):
         done[k] += 1
-        assert all(abs(done[x] * unit - share[x] * (t + 1)) < unit for x in share)
+        assert all(abs(done[x] - had[t][x]) < 1 for x in had[t])
+
+
+def test_a_long_schedule_stays_within_one_block():
+    """A million slots, weights that no short pattern repeats, sources that are used up on the way."""
+    blocks = {"big": 700_000, "mid": 260_000, "small": 40_000, "one": 1}
+    weights = {"big": 61_000_000**0.5, "mid": 20_000_000**0.5, "small": 7_000_000**0.5, "one": 0.0004}
+    ideal = mixing.Ideal(blocks, weights)
+    w, n, done = ideal.w, ideal.n, [0] * 4
+    ends = sorted(range(4), key=lambda j: Fraction(n[j], w[j]))
+    gone, at, had, active = 0, 0, [Fraction(0)] * 4, set(range(4))
+    for t, j in enumerate(mixing.pfair(ideal), 1):
+        done[j] += 1
+        while True:  # the phase of the ideal mix that slot t ends in
+            total = sum(w[x] for x in active)
+            if gone == 3 or (t - at) * w[ends[gone]] < (n[ends[gone]] - had[ends[gone]]) * total:
+                break
+            step = (n[ends[gone]] - had[ends[gone]]) * total / w[ends[gone]]
+            for x in active:
+                had[x] += step * w[x] / total
+            at += step
+            active.discard(ends[gone])
+            gone += 1
+        if t % 61 == 0 or t < 2000:
+            for x in range(4):
+                share = had[x] + ((t - at) * w[x] / Fraction(total) if x in active else 0)
+                assert abs(done[x] - share) < 1
+    assert done == n
+
+
+def test_pieces_hold_every_block_once():
+    blocks = {f"s{i}": 1 + i * 37 % 3000 for i in range(1001)}
+    rows = list(mixing.pieces(mixing.Ideal(blocks, {k: n**0.5 for k, n in blocks.items()})))
+    assert Counter({k: sum(len(s) for x, _, s in rows if x == k) for k in ("s3", "s900")}) == {k: blocks[k] for k in ("s3", "s900")}
+    assert sorted(t for _, _, s in rows for t in s) == list(range(sum(blocks.values())))
+    assert all(len(s) == mixing.PIECE or number == blocks[k] // mixing.PIECE for k, number, s in rows)
+    with pytest.raises(ValueError):
+        mixing.Ideal({"a": 1, "b": 1}, {"a": 1, "b": 0})
 
 
 def test_mix_is_whole_and_fair(spark, data):
@@ -88,21 +136,29 @@ def test_mix_is_whole_and_fair(spark, data):
     assert len(rows) == 1000 == len({r["mix_position"] for r in rows})
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     out = mixing.mix_sources(docs, {"src0": 3.0, "src1": 1.0}, block_docs=1).select("source", "mix_slot").orderBy("mix_slot").collect()
-    first = [r["source"] for r in out]
-    size = Counter(first)
-    sources = sorted(size)
-    w = mixing.integer_weights({s: {"src0": 3.0}.get(s, 1.0) for s in sources}, 1000)
-    done = Counter()
-    for t, s in enumerate(first):
-        done[s] += 1
-        if any(done[x] == size[x] for x in sources):
-            break
-        assert all(abs(done[x] - w[x] / 1000 * (t + 1)) < 1 for x in sources)
+    got = [r["source"] for r in out]
+    size = Counter(got)
+    assert got == plain_schedule(size, {s: {"src0": 3.0}.get(s, 1.0) for s in size})
 
 
-def test_mix_of_odd_rows(odd, none):
-    out = mixing.mix_sources(odd, block_docs=2)
+def test_mix_of_odd_rows(odd, none, tmp_path):
+    mixing.mix_sources(odd, block_docs=2).write.parquet(str(tmp_path / "mix"))  # columns that clash would not be written
+    out = odd.sparkSession.read.parquet(str(tmp_path / "mix"))
+    assert sorted(out.columns) == sorted([*odd.columns, "mix_offset", "mix_position"])
     assert out.count() == odd.count() == out.select("mix_position").distinct().count()
     assert mixing.mix_sources(none).count() == 0
-    with pytest.raises(ValueError):
-        mixing.mix_sources(odd, max_sources=1)
+
+
+def test_mix_of_equal_rows_and_many_sources(spark, monkeypatch):
+    """Null ids, one id for all, and copies of whole rows: every row has a place, whatever holds a third of them."""
+    monkeypatch.setattr(mixing, "DEAL", 16)
+    rows = [(None, "a", i % 50) for i in range(900)] + [(7, "a", 1)] * 700 + [(7, "b", i) for i in range(300)] + [(i, f"s{i}", 0) for i in range(1001)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, x int").withColumn("m", F.create_map(F.lit("k"), F.col("x")))
+    out = mixing.mix_sources(docs, block_docs=3, bucket_rows=20).collect()
+    assert Counter((r["doc_id"], r["source"], r["x"], r["m"]["k"]) for r in out) == Counter((*r, r[2]) for r in rows)
+    by = {}
+    for r in out:
+        by.setdefault(r["mix_slot"], []).append(r)
+    assert len({r["mix_position"] for r in out}) == len(rows)
+    assert all(len({r["source"] for r in b}) == 1 and sorted(r["mix_offset"] for r in b) == list(range(len(b))) for b in by.values())
+    assert sorted(by) == list(range(len(by)))
