@@ -3,16 +3,20 @@
 Candidates are found by one regular expression and validated (Luhn for card numbers, mod 97 for account numbers, octets,
 calendar dates, area rules). What is valid is permuted by a keyed Feistel network inside its own format: digits stay
 digits, letters letters, separators and lengths stay, check digits are worked out anew, dates stay dates. Equal values
-get equal pseudonyms in every document, also when they are written with other separators, and different values of one
-format get different pseudonyms. Whoever has the key can undo it.
+get equal pseudonyms in every document, and different values of one format get different pseudonyms. Account, card and phone
+numbers are equal however they are separated; a phone number with its country's code (which stays, also "(0)" after it) gets
+the digits that it gets without; addresses are equal without regard to letter case, which stays where it is, and keep their
+domain. Whoever has the key can undo it.
 
 Two networks do all the work. One permutes a string of digits and letters character by character: the halves take turns
 at being shifted, each position by what SHA-256 of key, kind, round and the other half gives. The other permutes whole
 numbers below a * b: the parts modulo a and modulo b take turns at having such a hash added.
 
-Defined results: a null text stays null and has no finds; what looks like a number but fails its check stays as it is;
-columns named pii_counts and the text column are replaced, all others pass; equal rows get equal results; an empty table
-gives an empty result.
+Defined results: a null text stays null and has no finds, an empty one is empty; a text of any length is searched whole, in
+its own row; what looks like a number but fails its check stays as it is, and so do dates with the month first (12/25/2020:
+out of scope, as 03/04/2020 would have two readings; day first is what is read); where candidates overlap, the one that
+starts first counts, and of those that start at the same place the kind that PATTERN lists first; columns named pii_counts
+and the text column are replaced, all others pass; equal rows get equal results; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,7 +29,9 @@ ROUNDS = 8  # even: the halves end where they began
 # What candidates look like. Lookbehinds keep the search from starting inside a word or number.
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}"
 IP = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])"
-PHONE = r"(?<![0-9+])\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])"
+PHONE = r"(?<![0-9+])\+[0-9]{1,3}[ .-]?(?:\(0\)[ .-]?)?\(?[0-9]{2,4}\)?(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])"
+#: Country codes: those of one and two digits; all others have three.
+CALLING = "1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3}"
 LOCAL_PHONE = r"(?<![0-9A-Za-z+.-])(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![0-9]|[.-][0-9])"
 #: Lengths of account numbers by country: what follows one is never taken for a part of it.
 IBAN_LENGTHS = {
@@ -104,6 +110,13 @@ def _like(original: Column, plain: Column, kept: str) -> Column:
     return F.aggregate(F.split(original, ""), start, step, lambda a: a["s"])
 
 
+def _cased(original: Column, plain: Column) -> Column:
+    """``plain`` with capital letters where ``original`` has them."""
+    letters = F.filter(F.split(original, ""), lambda c: c != "")
+    at = lambda i: F.substring(plain, i + 1, F.lit(1))
+    return F.array_join(F.transform(letters, lambda c, i: F.when(c.between("A", "Z"), F.upper(at(i))).otherwise(at(i))), "")
+
+
 def _luhn(digits: Column, last: int) -> Column:
     """Luhn sum of a string of digits; ``last`` 0 if its last digit is the check digit, 1 if the one before it."""
     # From the right, every second digit counts twice, less 9 if that makes two digits.
@@ -132,7 +145,8 @@ def _day(m: Column) -> Column:
 def pseudonym(m: Column, key: str) -> Column:
     """(kind, value) of a candidate; kind is null, and the value unchanged, if it fails its check."""
     digits = F.regexp_replace(m, "[^0-9]", "")
-    mail = F.concat(permute_text(F.substring_index(m, "@", 1), key, "email"), F.lit("@"), F.substring_index(m, "@", -1))
+    name = F.substring_index(m, "@", 1)
+    mail = F.concat(_cased(name, permute_text(F.lower(name), key, "email")), F.lit("@"), F.substring_index(m, "@", -1))
 
     octets = F.transform(F.split(m, r"\."), lambda c: c.cast("long"))
     address = permute_number(F.aggregate(octets, F.lit(0).cast("long"), lambda a, x: a * 256 + x), 65536, 65536, key, "ip")
@@ -144,10 +158,11 @@ def pseudonym(m: Column, key: str) -> Column:
     check = F.lpad((98 - _mod97(F.concat(F.substring(plain, 1, 2), F.lit("00"), body))).cast("string"), 2, "0")
     iban = _like(m, F.concat(F.substring(plain, 1, 2), check, body), "[A-Z0-9]")
 
-    # The country code stays; digits after it are permuted, with or without one alike.
-    code = F.length(F.regexp_extract(m, r"^\+([0-9]{1,3}?)(?=[ .(-])", 1))
-    rest = F.substring(digits, code + 1, F.length(digits))
-    phone = _like(m, F.concat(F.substring(digits, F.lit(1), code), permute_text(rest, key, "phone")), "[0-9]")
+    # The country code stays, and the zero that some write behind it; digits after them are permuted, with or without alike.
+    code = F.when(m.startswith("+"), F.regexp_extract(digits, f"^(?:{CALLING})", 0)).otherwise("")
+    kept = F.when(F.contains(m, F.lit("(0)")), F.concat(code, F.lit("0"))).otherwise(code)
+    rest = F.substring(digits, F.length(kept) + 1, F.length(digits))
+    phone = _like(m, F.concat(kept, permute_text(rest, key, "phone")), "[0-9]")
 
     a, b = DAYS
     number = F.datediff(_day(m), F.lit(FIRST_DAY).cast("date")).cast("long")

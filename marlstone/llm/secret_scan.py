@@ -10,7 +10,8 @@ a shuffled join.
 
 Spans are code points, end exclusive, leftmost and non-overlapping for each rule. Defined results: null texts count as
 empty; rows with a null id are candidates for every rule; rows that share an id are verified one by one; letters of a
-case-blind rule are A-Z and a-z only; an empty table gives an empty result; a column named secret_spans is replaced.
+case-blind rule are A-Z and a-z only; of matches that start at the same place the rule that is listed first comes first; a
+text of any length is read whole; an empty table gives an empty result; a column named secret_spans is replaced, all others pass.
 """
 
 from __future__ import annotations
@@ -29,8 +30,8 @@ try:
 except ImportError:  # older Pythons
     import sre_parse as sre
 
-#: Documents of one block of the index.
-BLOCK_DOCS = 8192
+#: Documents of one block of the index; matches of a text that are worked off in one go.
+BLOCK_DOCS, CHUNK = 8192, 256
 
 
 @dataclass(frozen=True)
@@ -164,6 +165,9 @@ def spans_of(text: Column, rule: Rule, order: int) -> Column:
     value = F.transform(F.regexp_extract_all(text, p, rule.group), lambda s: F.char_length(s).cast("long"))
     none = F.expr("cast(array() as array<struct<start: long, order: int, kind: string, end: long>>)")
 
+    # The text after the last match has no match beside it: the three arrays end with the matches.
+    rows = F.zip_with(F.slice(between, 1, F.size(found)), F.arrays_zip(found.alias("size"), value.alias("value")), lambda g, x: F.struct(g.alias("gap"), x["size"].alias("size"), x["value"].alias("value")))
+
     def step(acc: Column, x: Column) -> Column:
         start = acc["at"] + x["gap"]
         end = start + x["size"]
@@ -171,10 +175,16 @@ def spans_of(text: Column, rule: Rule, order: int) -> Column:
         kept = F.when(x["value"] >= rule.least, F.concat(acc["out"], one)).otherwise(acc["out"])
         return F.struct(end.alias("at"), kept.alias("out"))
 
-    # The text after the last match has no match beside it: the three arrays end with the matches.
-    rows = F.zip_with(F.slice(between, 1, F.size(found)), F.arrays_zip(found.alias("size"), value.alias("value")), lambda g, x: F.struct(g.alias("gap"), x["size"].alias("size"), x["value"].alias("value")))
-    start = F.struct(F.lit(0).cast("long").alias("at"), none.alias("out"))
-    return F.aggregate(rows, start, step, lambda acc: acc["out"])
+    def chunk(xs: Column, at: Column) -> Column:
+        return F.aggregate(xs, F.struct(at.alias("at"), none.alias("out")), step, lambda acc: acc["out"])
+
+    # Each step copies what it has: chunks keep that short, and their starts come from their sums.
+    zero = F.lit(0).cast("long")
+    parts = F.transform(F.sequence(F.lit(0), F.floor(F.size(found) / CHUNK).cast("int")), lambda c: F.slice(rows, c * CHUNK + 1, CHUNK))
+    sums = F.transform(parts, lambda xs: F.aggregate(xs, zero, lambda acc, x: acc + x["gap"] + x["size"]))
+    first = F.aggregate(sums, F.array(zero), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)), lambda acc: F.slice(acc, F.lit(1), F.size(acc) - 1))
+    several = F.flatten(F.zip_with(parts, first, chunk))
+    return F.when(F.size(found) <= CHUNK, chunk(rows, zero)).otherwise(several)
 
 
 def scan_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id: str = "doc_id", text: str = "text") -> DataFrame:
