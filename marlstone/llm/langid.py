@@ -7,10 +7,15 @@ exclusion), down to a uniform choice among bytes never seen. With frozen statist
 the byte and the ``order`` bytes before it, so the lengths of all learned (order + 1)-byte strings are worked out once and
 looked up in a hash table; other strings are worked out when met. The language with the shortest code wins.
 
+Languages are independent of each other: any number of them is learned, in groups of ``GROUP`` that share one table, some two
+megabytes a language.
+
 Defined results: ``und`` with score 0 for null texts and texts without a letter; ties go to the language that sorts first;
-with nothing to learn from, every text is ``und``; the score is the winner's posterior probability under equal priors;
-equal rows get equal results. Learning reads a bounded sample: per language the ``sample_docs`` documents whose ids have
-the smallest hashes.
+with nothing to learn from (an empty table too), every text is ``und``; an empty table of documents gives an empty result;
+the score is the winner's posterior probability under equal priors; equal rows get equal results; a text of any length is
+read whole; input columns named lang_pred or score are replaced, all others pass through. Learning reads a bounded sample:
+per language the ``sample_docs`` ids with the smallest hashes (fewer where that would be more than ``sample_total`` in all,
+one at least), of each the text with the smallest hash; rows with a null id count as one id.
 """
 
 from __future__ import annotations
@@ -21,9 +26,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ._shared import SLICE_BYTES, annotate, slices, text_buffers
+from ._shared import SLICE_BYTES, annotate, sized, slices, text_buffers
 
 PAD = 10
+#: Languages that share a table of strings.
+GROUP = 48
 
 
 def grams(data: np.ndarray, off: np.ndarray, order: int) -> np.ndarray:
@@ -145,27 +152,50 @@ class Ppm:
         return out
 
 
-def learn(train: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang", order: int = 3, sample_docs: int = 300, max_langs: int = 200) -> Ppm:
+class Models:
+    """Trees of all languages, in groups."""
+
+    def __init__(self, texts: dict[str, list[bytes]], order: int = 3):
+        self.langs = sorted(texts)
+        self.groups = [Ppm({k: texts[k] for k in self.langs[i : i + GROUP]}, order) for i in range(0, len(self.langs), GROUP)]
+
+    def score(self, data: np.ndarray, off: np.ndarray) -> np.ndarray:
+        """Bits each language takes for each document."""
+        return np.concatenate([np.zeros((len(off) - 1, 0)), *[g.score(data, off) for g in self.groups]], 1)
+
+
+def learn(train: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang", order: int = 3, sample_docs: int = 300, sample_total: int = 20_000) -> Models:
     """Context trees from the rows of ``train`` with a text and a language: a bounded sample, whole texts."""
-    h = F.xxhash64(F.col(id).cast("string"))
+    spark, h = train.sparkSession, F.xxhash64(F.col(id).cast("string"))
     rows = train.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).alias("l"), h.alias("h"), F.col(text).alias("t"))
-    first = Window.partitionBy("l").orderBy("h")
-    # Row numbers up to a limit are taken before the shuffle as well: a language's rows don't meet in one task.
-    kth = rows.select("l", "h").withColumn("k", F.row_number().over(first)).filter(F.col("k") <= sample_docs).groupBy("l").agg(F.max("h").alias("most"))
-    bounds = {r["l"]: r["most"] for r in kth.limit(max_langs + 1).collect()}
-    if len(bounds) > max_langs:
-        raise ValueError(f"more than {max_langs} languages")
-    texts: dict[str, list[bytes]] = {k: [] for k in bounds}
-    if bounds:
-        within = F.lit(False)
-        for k, most in bounds.items():
-            within = within | ((F.col("l") == k) & (F.col("h") <= most))
-        for r in sorted(rows.filter(within).limit(2 * sample_docs * len(bounds)).toLocalIterator(), key=lambda r: (r["l"], r["h"], r["t"])):
+    todo = {r["l"]: r["count"] for r in rows.groupBy("l").count().collect()}  # a row for each language
+    wanted, spread, last = max(1, min(sample_docs, sample_total // max(1, len(todo)))), 4, {}
+
+    def limits(most: dict) -> DataFrame:
+        kind = train.schema[lang].dataType.simpleString()
+        return sized(spark.createDataFrame(list(most.items()), f"bl {kind}, most long"), len(most))
+
+    while todo:
+        # Hashes below a limit that some times the wanted ids should have; a wider one where many rows share an id.
+        most = {k: min((1 << 63) - 1, spread * wanted * (1 << 64) // n - (1 << 63)) for k, n in todo.items()}
+        ids = rows.select("l", "h").join(limits(most), F.col("l") == F.col("bl")).filter("h <= most").select("l", "h").distinct()
+        kth = ids.withColumn("k", F.row_number().over(Window.partitionBy("l").orderBy("h"))).filter(F.col("k") <= wanted)
+        found = {r["l"]: r for r in kth.groupBy("l").agg(F.max("h").alias("h"), F.max("k").alias("k")).collect()}
+        for k in list(todo):
+            if k in found and (found[k]["k"] == wanted or most[k] == (1 << 63) - 1):
+                last[k] = found[k]["h"]
+                del todo[k]
+        spread *= 64
+    texts: dict[str, list[bytes]] = {k: [] for k in last}
+    if last:
+        within = rows.join(limits(last), F.col("l") == F.col("bl")).filter("h <= most")
+        one = within.groupBy("l", "h").agg(F.min(F.struct(F.xxhash64("t").alias("th"), F.col("t"))).alias("d"))
+        for r in sorted(one.select("l", "h", "d.t").toLocalIterator(), key=lambda r: (r["l"], r["h"])):
             texts[r["l"]].append(r["t"].encode())
-    return Ppm(texts, order)
+    return Models(texts, order)
 
 
-def identify(docs: DataFrame, model: Ppm, text: str = "text", carry: list[str] | None = None) -> DataFrame:
+def identify(docs: DataFrame, model: Models, text: str = "text", carry: list[str] | None = None) -> DataFrame:
     """``docs`` (or its ``carry`` columns) with lang_pred and score; whole texts, no shuffle."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

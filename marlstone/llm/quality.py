@@ -6,9 +6,11 @@ zero bytes). A dense layer turns a chunk's maxima into features, and their mean
 probability. Training runs on the driver over a bounded sample of labelled rows, whole texts, the same number of each
 label where there are enough.
 
-Defined results: null and empty texts are one chunk of padding and get a score as any other text; equal texts get equal
-scores; without labels of both kinds every score is 1 (one kind of label 0: 0); labels of a document that contradict
-each other count as 0.
+Defined results: null and empty texts are one chunk of padding and get a score as any other text; a text of any length is
+read whole; equal texts get equal scores; without labels of both kinds (an empty table of labels too) every score is 1 (one
+kind of label 0: 0); labels of a document that contradict each other count as 0, labels without an id or a mark not at all;
+of rows that share a labelled id the one with the smallest text hash is learned from; an empty table of documents gives an
+empty result; input columns named score or predicted are replaced, all others pass through (filtering keeps all as they are).
 """
 
 from __future__ import annotations
@@ -159,7 +161,9 @@ def learn(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
         return fit([], [])
     ids = docs.sparkSession.createDataFrame([(i,) for i in sample], docs.select(F.col(id).alias("i")).schema)
     rows = docs.select(F.col(id).alias("i"), F.coalesce(F.col(text), F.lit("")).alias("t")).join(F.broadcast(ids), "i", "left_semi")
-    found = sorted((r["i"], r["t"]) for r in rows.limit(4 * per_label).toLocalIterator())
+    # However many rows share an id, one of them comes.
+    rows = rows.groupBy("i").agg(F.min(F.struct(F.xxhash64("t").alias("th"), F.col("t"))).alias("d")).select("i", "d.t")
+    found = sorted((r["i"], r["t"]) for r in rows.toLocalIterator())
     net = fit([t.encode() for _, t in found], [sample[i] for i, _ in found])
     del found
     trim()

@@ -104,3 +104,96 @@ def test_quality_of_odd_rows(spark, odd, none):
     same = quality.score_quality(odd.filter("doc_id = 6"), model).select("score").distinct().count()
     assert same == 1 and quality.learn(odd, labels.filter("quality = 0")).p == 0.0
     assert out.filter(F.col("text").isNull()).count() == 2
+
+
+def plain_bits(texts, text, order=3):
+    """PPM with full exclusion, method C, by dictionaries: bits of ``text`` after learning ``texts``."""
+    from collections import Counter, defaultdict
+    from math import log2
+
+    seen = defaultdict(Counter)
+    for t in texts:
+        padded = b"\n" * order + t
+        for i in range(len(t)):
+            for k in range(order + 1):
+                seen[padded[i + order - k : i + order]][padded[i + order]] += 1
+    bits, padded = 0.0, b"\n" * order + text
+    for i, c in enumerate(text):
+        out = set()
+        for k in range(order, -1, -1):
+            left = {b: n for b, n in seen[padded[i + order - k : i + order]].items() if b not in out}
+            total, kinds = sum(left.values()), len(left)
+            if c in left:
+                bits += log2((total + kinds) / left[c])
+                break
+            if total:
+                bits += log2((total + kinds) / kinds)
+            out |= set(left)
+        else:
+            bits += log2(max(1, 256 - len(out)))
+    return bits
+
+
+def test_code_lengths_equal_a_plain_version(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("text is not null and lang is not null and n_chars < 3000").orderBy("doc_id").collect()
+    texts = {k: [r["text"].encode() for r in rows if r["lang"] == k][:6] for k in sorted({r["lang"] for r in rows})}
+    model = langid.Models(texts)
+    probe = [r["text"].encode()[:600] for r in rows[-25:]] + [b"x", "日本 \x00\xff?".encode(), b"\n\n\n"]
+    off = np.cumsum([0, *map(len, probe)])
+    got = model.score(np.frombuffer(b"".join(probe), np.uint8), off)
+    for i, t in enumerate(probe):
+        assert np.allclose(got[i], [plain_bits(texts[k], t) for k in model.langs], rtol=1e-5, atol=1e-3)
+
+
+def test_any_number_of_languages(spark):
+    from .conftest import passage
+
+    rows = [(1000 * k + i, f"lang{k:03}", f"{passage(k, 12)} word{k}x{i} {passage(k, 5)}") for k in range(201) for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    model = langid.learn(docs)
+    assert len(model.langs) == 201 and len(model.groups) == -(-201 // langid.GROUP)
+    got = langid.identify(docs, model).collect()
+    assert np.mean([r["lang_pred"] == r["lang"] for r in got]) > 0.95
+    texts = {k: [t.encode() for _, lang, t in rows if lang == k] for k in ("lang000", "lang150")}
+    some = [r[2].encode() for r in rows[:4]]
+    bits = model.score(np.frombuffer(b"".join(some), np.uint8), np.cumsum([0, *map(len, some)]))
+    for k, mine in texts.items():
+        assert np.allclose(bits[:, model.langs.index(k)], [plain_bits(mine, t) for t in some], rtol=1e-5, atol=1e-3)
+
+
+def test_repeated_ids_count_once(spark):
+    """5000 rows of one id take one place of the sample, and the same text is taken every time."""
+    rows = [(1, "en", f"the cat number {i}") for i in range(5000)] + [(i, "en", f"a dog of {i} years") for i in range(2, 40)] + [(i, "de", f"der Hund Nummer {i}") for i in range(50, 80)]
+    rows += [(None, "de", f"ohne Nummer {i}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    for sample in (30, 10):
+        one, two = langid.learn(docs.repartition(7), sample_docs=sample), langid.learn(docs.repartition(3), sample_docs=sample)
+        a, b = (m.score(np.frombuffer(b"the dog der Hund", np.uint8), np.array([0, 16])) for m in (one, two))
+        assert (a == b).all()
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 40)], "doc_id long, quality int")
+    nets = [quality.learn(docs.repartition(k), labels, per_label=5) for k in (3, 7)]
+    text = np.frombuffer(b"the dog number", np.uint8)
+    assert nets[0].probability(text, np.array([0, 14])) == nets[1].probability(text, np.array([0, 14]))
+
+
+def test_forward_pass_equals_loops():
+    r = np.random.default_rng(3)
+    net = quality.Cnn(dims=3, filters=5, hidden=4)
+    net.w = {k: r.standard_normal(v.shape) for k, v in net.w.items()}
+    w, half = net.w, quality.BYTES
+    docs = [bytes(r.integers(1, 256, n, dtype=np.uint8)) for n in (0, 1, 7, half - 1, half, half + 1, 2 * half - 1, 2 * half, 2 * half + 3, 5 * half + 100)]
+    off = np.cumsum([0, *map(len, docs)])
+    got = net.forward(np.frombuffer(b"".join(docs), np.uint8), off)
+    for i, t in enumerate(docs):
+        blocks = max(1, -(-len(t) // half))
+        padded = t + bytes(blocks * half - len(t))
+        answers = []  # of every filter at every step that lies inside the padded text
+        for s in range(0, len(padded) - quality.WIDTH + 1, quality.STRIDE):
+            answers.append(np.concatenate([w["e"][c] for c in padded[s : s + quality.WIDTH]]) @ w["f"])
+        hidden, steps = [], half // quality.STRIDE
+        for c in range(max(1, blocks - 1)):
+            top = np.max(answers[c * steps : (c + 2) * steps], axis=0)
+            full = min(1, (len(t) - c * half) / (2 * half))
+            hidden.append(np.maximum(np.append(np.maximum(top + w["fb"], 0), full) @ w["h"] + w["hb"], 0))
+        want = np.concatenate([np.mean(hidden, 0), np.max(hidden, 0)]) @ w["o"] + w["ob"][0]
+        assert abs(got[i] - want) < 1e-5 * max(1, abs(want))
