@@ -1,12 +1,19 @@
 """Benchmark decontamination: a broadcast hash set of the benchmark's n-grams meets every window of every document.
 
 Benchmark items become windows of ``n`` consecutive words (an item of fewer words, but not none, is one window). The
-windows' 64-bit hashes are broadcast in blocks of a checked size; a larger benchmark takes several passes, each over all
-documents. Documents are scanned in their own partitions, without a shuffle, as byte arrays: words by a byte table,
-word and window hashes by prefix sums, a bit table to dismiss most windows, then a comparison of the very words.
-
-Defined results: null and empty texts have no words and are never contaminated; null item ids count as the empty text;
-equal rows get equal results; an empty benchmark hits nothing.
+windows are broadcast as arrays: sorted 64-bit hashes, the place of the words in the normalised items, the items that have
+them. Items are dealt into blocks of ``block_bytes`` of text at most (of equal texts one counts; an item that is longer is
+a block by itself), for there is one broadcast of some six times that at a time. Documents are scanned in their own
+partitions as byte arrays: words by a byte table, word and window hashes by prefix sums, a bit table to dismiss most
+windows, then a comparison of the very words.
+
+One block takes one pass without a shuffle. Where there are more, documents are numbered and written once, every pass reads
+their texts and gives finds alone, and the finds of all passes are joined to the documents.
+
+Defined results: null and empty texts have no words and are never contaminated; a text of any length is scanned whole;
+null item ids count as the empty text, items with a null text not at all; items with equal texts are all found where one is;
+equal rows get equal results; an empty benchmark hits nothing, an empty table of documents gives an empty result; input
+columns with the names of the added ones are replaced, all others pass through (filtering keeps all as they are).
 """
 
 from __future__ import annotations
@@ -18,47 +25,88 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import ALNUM, annotate, gram_hashes, materialize, slices, text_buffers, word_hashes, words
+from ._shared import ALNUM, annotate, gram_hashes, materialize, mix, release, sized, slices, text_buffers, word_hashes, words
 
-#: Bytes of benchmark text in one broadcast block (its windows take some hundred times that in a worker).
-BLOCK_BYTES = 1 << 20
+#: Bytes of benchmark text in one broadcast block, and in one of the bins that blocks are made of.
+BLOCK_BYTES, BIN_BYTES = 32 << 20, 1 << 20
 SPANS = "decon_words long, decon_spans array<struct<start: long, end: long>>, decon_items array<string>"
 
 
-def build_windows(items: list[tuple[str, str]], n: int) -> dict:
-    """Window length -> (sorted hashes, windows by hash: the words' bytes -> item ids)."""
-    found: dict = defaultdict(lambda: defaultdict(lambda: defaultdict(set)))
-    for item, text in items:
-        data = np.frombuffer((text or "").encode(), np.uint8)
-        low, starts, ends, _ = words(data, np.array([0, len(data)]), ALNUM)
-        if len(starts):
-            size = min(n, len(starts))
-            raw = low.tobytes()
-            for i, h in enumerate(gram_hashes(word_hashes(low, starts, ends), size).tolist()):
-                found[size][h][_key(raw, starts, ends, i, size)].add(item or "")
-    return {size: (np.array(sorted(by), np.uint64), {h: {k: sorted(v) for k, v in x.items()} for h, x in by.items()}) for size, by in found.items()}
+class Windows:
+    """The windows of a block of items, by length."""
+
+    def __init__(self, items: list[tuple[list[str], str]], n: int):
+        self.ids = [ids for ids, _ in items]
+        texts = [t.encode() for _, t in items]
+        off = np.cumsum([0, *map(len, texts)])
+        low, starts, ends, woff = words(np.frombuffer(b"".join(texts), np.uint8), off, ALNUM)
+        del texts
+        h, count = word_hashes(low, starts, ends), np.diff(woff)
+        self.by_size = {}
+        for size in sorted(set(np.minimum(count, n).tolist()) - {0}):
+            own = count >= n if size == n else count == size
+            first = np.repeat(own, count)
+            last = np.repeat(woff[1:], count)
+            at = np.flatnonzero(first & (np.arange(len(h)) + size <= last))
+            self.by_size[size] = self._table(h, at, size, woff)
+        self.raw, self.starts, self.ends = low.tobytes(), starts.astype(np.uint32 if len(low) < 1 << 32 else np.int64), ends.astype(np.uint32 if len(low) < 1 << 32 else np.int64)
+
+    @staticmethod
+    def _table(h: np.ndarray, at: np.ndarray, size: int, woff: np.ndarray) -> tuple:
+        """Sorted hashes of distinct windows, a place of each, and the items of each: from, and numbers."""
+        g = gram_hashes(h, size)[at]
+        g2 = gram_hashes(mix(h ^ np.uint64(0x6A09E667F3BCC909)), size)[at]  # tells apart windows that share a hash
+        item = (np.searchsorted(woff, at, "right") - 1).astype(np.int32)
+        order = np.lexsort((item, g2, g))
+        g, g2, item, at = g[order], g2[order], item[order], at[order]
+        new = np.ones(len(g), bool)
+        new[1:] = (g[1:] != g[:-1]) | (g2[1:] != g2[:-1])
+        keep = new.copy()
+        keep[1:] |= item[1:] != item[:-1]
+        start = np.flatnonzero(new[keep])
+        return g[new], at[new].astype(np.int64), np.append(start, keep.sum()).astype(np.int64), item[keep]
+
+    def table(self, size: int) -> tuple[np.ndarray, np.uint64]:
+        """A bit table of the hashes' leading bits; made where it is used, once."""
+        made = self.__dict__.setdefault("_tables", {})
+        if size not in made:
+            hashes = self.by_size[size][0]
+            bits = int(np.clip(np.ceil(np.log2(8 * max(1, len(hashes)))), 12, 26))
+            table, shift = np.zeros(1 << bits, bool), np.uint64(64 - bits)
+            table[hashes >> shift] = True
+            made[size] = table, shift
+        return made[size]
+
+    def words_at(self, i: int, n: int) -> bytes:
+        return _key(self.raw, self.starts, self.ends, i, n)
 
 
 def _key(raw: bytes, starts, ends, i: int, n: int) -> bytes:
     return b" ".join(raw[starts[j] : ends[j]] for j in range(i, i + n))
 
 
-def scan(data: np.ndarray, off: np.ndarray, windows: dict, tables: dict) -> tuple[np.ndarray, dict]:
-    """Words of each document; hits by document: (first word, words, item ids)."""
+def scan(data: np.ndarray, off: np.ndarray, windows: Windows) -> tuple[np.ndarray, dict]:
+    """Words of each document; hits by document: (first word, words, item numbers)."""
     low, starts, ends, woff = words(data, off, ALNUM)
     hits: dict = defaultdict(list)
-    if windows and len(starts):
+    if windows.by_size and len(starts):
         h, raw = word_hashes(low, starts, ends), None
-        for n, (hashes, by) in windows.items():
+        for n, (hashes, place, first, item) in windows.by_size.items():
+            table, shift = windows.table(n)
             g = gram_hashes(h, n)
-            at = np.flatnonzero(tables[n][g >> np.uint64(44)])
-            at = at[hashes[np.minimum(np.searchsorted(hashes, g[at]), len(hashes) - 1)] == g[at]]
+            at = np.flatnonzero(table[g >> shift])
+            k = np.searchsorted(hashes, g[at])
+            same = hashes[np.minimum(k, len(hashes) - 1)] == g[at]
+            at, k = at[same], k[same]
             doc = np.searchsorted(woff, at, "right") - 1
             inside = at + n <= woff[doc + 1]
-            for i, d in zip(at[inside].tolist(), doc[inside].tolist(), strict=True):
+            for i, d, j in zip(at[inside].tolist(), doc[inside].tolist(), k[inside].tolist(), strict=True):
                 raw = low.tobytes() if raw is None else raw
-                if items := by[int(g[i])].get(_key(raw, starts, ends, i, n)):
-                    hits[d].append((i - int(woff[d]), n, items))
+                own = _key(raw, starts, ends, i, n)
+                while j < len(hashes) and hashes[j] == g[i]:  # one, but for windows that share a hash
+                    if windows.words_at(int(place[j]), n) == own:
+                        hits[d].append((i - int(woff[d]), n, item[first[j] : first[j + 1]]))
+                    j += 1
     return np.diff(woff), hits
 
 
@@ -72,45 +120,88 @@ def _merged(spans: list[tuple[int, int]]) -> list[dict]:
     return out
 
 
+def _blocks(items: DataFrame, block_bytes: int) -> list:
+    """Conditions that deal distinct texts into blocks of at most so many bytes: bins by hash, packed in order."""
+    total = items.agg(F.sum("size")).first()[0] or 0
+    if total <= block_bytes:
+        return [F.lit(True)]
+    bins = -(-total // max(1, min(BIN_BYTES, block_bytes // 8)))
+    at = F.pmod(F.xxhash64("t"), F.lit(bins))
+    # A row for each bin, in their order; one that is too large is only so by a single text that is.
+    sizes = items.groupBy(at.alias("bin")).agg(F.sum("size").alias("size")).orderBy("bin")
+    out, low, held = [], 0, 0
+    for r in sizes.toLocalIterator():
+        if held and held + r["size"] > block_bytes:
+            out.append(at.between(low, r["bin"] - 1))
+            low, held = r["bin"], 0
+        held += r["size"]
+    return [*out, at >= low]
+
+
+def _finds(rows: DataFrame, windows: Windows, text: str, carry: list[str]) -> DataFrame:
+    shared = rows.sparkSession.sparkContext.broadcast(windows)
+
+    def run(columns: list[pa.Array]) -> list[pa.Array]:
+        windows = shared.value
+        data, off, _ = text_buffers(columns[0])
+        counts, spans, found = [], [], []
+        for lo, hi in slices(off):
+            number, hits = scan(data[off[lo] : off[hi]], off[lo : hi + 1] - off[lo], windows)
+            counts.append(number)
+            for d in range(hi - lo):
+                own = hits.get(d, ())
+                spans.append(_merged([(i, i + w) for i, w, _ in own]))
+                items = np.unique(np.concatenate([x for _, _, x in own])).tolist() if own else ()
+                found.append(sorted({i for k in items for i in windows.ids[k]}))
+        kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+        number = np.concatenate(counts) if counts else np.zeros(0, np.int64)
+        return [pa.array(number, pa.int64()), pa.array(spans, kind), pa.array(found, pa.list_(pa.string()))]
+
+    return annotate(rows, run, SPANS, [text], carry)
+
+
+def _joined(finds: DataFrame) -> DataFrame:
+    """The finds of several passes as one row for each document that has any: __r, __spans, __items."""
+    both = finds.groupBy("__row").agg(F.flatten(F.collect_list("decon_spans")).alias("x"), F.flatten(F.collect_list("decon_items")).alias("y"))
+
+    def run(columns: list[pa.Array]) -> list[pa.Array]:
+        spans = [_merged([(x["start"], x["end"]) for x in own]) for own in columns[0].to_pylist()]
+        kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+        return [pa.array(spans, kind), pa.array([sorted(set(own)) for own in columns[1].to_pylist()], pa.list_(pa.string()))]
+
+    out = annotate(both, run, "__spans array<struct<start: long, end: long>>, __items array<string>", ["x", "y"], ["__row"])
+    return out.withColumnRenamed("__row", "__r")
+
+
 def find_contamination(docs: DataFrame, benchmark: DataFrame, n: int = 13, text: str = "text", item_id: str = "item_id", item_text: str = "text", carry: list[str] | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` (or its ``carry`` columns) with decon_words, decon_spans (ranges of words inside benchmark windows, merged),
     decon_items (ids of the items with occurring windows, sorted) and decon_hit (words inside the spans)."""
-    spark = docs.sparkSession
-    items = benchmark.select(F.col(item_id).cast("string").alias("i"), F.col(item_text).alias("t")).filter("t is not null")
-    total = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    blocks = max(1, -(-total // block_bytes))
-    carry = docs.columns if carry is None else carry
-    out, before = docs, []
-    for k in range(blocks):
-        part = items.filter(F.pmod(F.xxhash64("t"), F.lit(blocks)) == k) if blocks > 1 else items
-        shared = spark.sparkContext.broadcast(build_windows([(r["i"], r["t"]) for r in part.collect()], n))
-
-        def run(columns: list[pa.Array], shared=shared) -> list[pa.Array]:
-            windows, tables = shared.value, {}
-            for size, (hashes, _) in windows.items():
-                tables[size] = np.zeros(1 << 20, bool)
-                tables[size][hashes >> np.uint64(44)] = True
-            data, off, _ = text_buffers(columns[0])
-            counts, spans, found = [], [], []
-            for lo, hi in slices(off):
-                number, hits = scan(data[off[lo] : off[hi]], off[lo : hi + 1] - off[lo], windows, tables)
-                counts.append(number)
-                for d in range(hi - lo):
-                    own = hits.get(d, ())
-                    spans.append(_merged([(i, i + w) for i, w, _ in own]))
-                    found.append(sorted({x for _, _, items in own for x in items}))
-            if len(columns) > 1:  # what earlier blocks found
-                for d, (old, had) in enumerate(zip(columns[1].to_pylist(), columns[2].to_pylist(), strict=True)):
-                    spans[d] = _merged([(x["start"], x["end"]) for x in [*spans[d], *old]])
-                    found[d] = sorted({*found[d], *had})
-            kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-            number = np.concatenate(counts) if counts else np.zeros(0, np.int64)
-            return [pa.array(number, pa.int64()), pa.array(spans, kind), pa.array(found, pa.list_(pa.string()))]
-
-        last = k == blocks - 1
-        out = annotate(out, run, SPANS, [text, *before], carry if last else None)
-        before = ["decon_spans", "decon_items"]
-        out = out if last else materialize(out, "decon-pass")
+    named = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("i"), F.col(item_text).alias("t")).filter("t is not null")
+    items = named.groupBy("t").agg(F.array_sort(F.collect_set("i")).alias("ids")).withColumn("size", F.octet_length(F.concat("t", F.array_join("ids", ""))).cast("long"))
+    items = materialize(items, "decon-items")
+    carry = [c for c in (docs.columns if carry is None else carry) if c.lower() not in ("decon_words", "decon_spans", "decon_items", "decon_hit")]
+    blocks = _blocks(items, block_bytes)
+    block = lambda k: Windows([(r["ids"], r["t"]) for r in items.filter(blocks[k]).toLocalIterator()], n)
+    if len(blocks) == 1:
+        out = _finds(docs, block(0), text, carry)
+    else:
+        kept = F.struct(*[F.col(f"`{c}`") for c in carry], F.lit(0).alias("__0")).alias("__doc")
+        rows = materialize(docs.select(kept, F.col(text).alias("__text"), F.monotonically_increasing_id().alias("__row")), "decon-rows")
+        first = materialize(_finds(rows, block(0), "__text", ["__row"]), "decon-pass")
+        passes = [first.filter(F.size("decon_items") > 0).select("__row", "decon_spans", "decon_items")]
+        for k in range(1, len(blocks)):
+            hit = _finds(rows, block(k), "__text", ["__row"]).filter(F.size("decon_items") > 0)
+            passes.append(materialize(hit.select("__row", "decon_spans", "decon_items"), "decon-pass"))
+        finds = passes[0]
+        for p in passes[1:]:
+            finds = finds.unionByName(p)
+        found = materialize(_joined(finds), "decon-finds")
+        for p in passes[1:]:
+            release(p)
+        count = first.select(F.col("__row").alias("__w"), "decon_words")
+        out = rows.join(count.hint("merge"), F.col("__row") == F.col("__w")).join(sized(found), F.col("__row") == F.col("__r"), "left")
+        none = lambda c, t: F.coalesce(c, F.expr(f"cast(array() as {t})"))
+        out = out.select(*[F.col(f"__doc.`{c}`") for c in carry], "decon_words", none("__spans", "array<struct<start: long, end: long>>").alias("decon_spans"), none("__items", "array<string>").alias("decon_items"))
     hit = F.aggregate("decon_spans", F.lit(0).cast("long"), lambda a, x: a + x["end"] - x["start"])
     return out.withColumn("decon_hit", hit)
 

@@ -177,3 +177,141 @@ def test_pseudonyms_of_odd_rows(odd, none):
     out = pii.pseudonymize(odd, "k")
     assert out.count() == odd.count() and set(out.columns) == set(odd.columns) and pii.pseudonymize(none, "k").count() == 0
     assert dict(out.dtypes)["pii_counts"] == "map<string,int>"
+
+
+# ---- personal data, worked out again in plain Python ---------------------------------------------------------------
+
+
+def py_digest(key, kind, turn, value):
+    return hashlib.sha256(f"{key}|{kind}|{turn}|{value}".encode()).hexdigest()
+
+
+def py_number(x, a, b, key, kind):
+    u, v, mu, mv = x // b, x % b, a, b
+    for turn in range(1, 9):
+        u, v, mu, mv = v, (u + int(py_digest(key, kind, turn, v)[:15], 16)) % mu, mv, mu
+    return u * b + v
+
+
+def py_text(t, key, kind):
+    u, v = t[: len(t) // 2], t[len(t) // 2 :]
+    for turn in range(1, 9):
+        d, out = py_digest(key, kind, turn, v), ""
+        for i, c in enumerate(u):
+            low, n = (48, 10) if "0" <= c <= "9" else (97, 26) if "a" <= c <= "z" else (65, 26) if "A" <= c <= "Z" else (0, 0)
+            out += chr(low + (ord(c) - low + int(d[2 * (i % 32) : 2 * (i % 32) + 2], 16)) % n) if n else c
+        u, v = v, out
+    return u + v
+
+
+def py_like(original, plain, kept):
+    rest = iter(plain)
+    return "".join(next(rest) if re.fullmatch(kept, c) else c for c in original)
+
+
+def py_mod97(t):
+    return int("".join(str(int(c, 36)) for c in t[4:] + t[:4])) % 97
+
+
+def py_date(m):
+    import datetime as dt
+
+    try:
+        return dt.date.fromisoformat(m) if m[4] == "-" else dt.date(int(m[6:]), int(m[3:5]), int(m[:2]))
+    except ValueError:
+        return None
+
+
+CODES = {"1", "7", *"20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split()}
+
+
+def py_pseudonym(m, key):
+    import datetime as dt
+
+    digits, whole = re.sub(r"\D", "", m), lambda p: re.fullmatch(p, m)
+    if "@" in m:
+        name, domain = m.split("@")
+        plain = py_text(name.lower(), key, "email")
+        return "email", "".join(p.upper() if "A" <= c <= "Z" else p for c, p in zip(name, plain)) + "@" + domain
+    if whole(pii.IP) and all(int(x) < 256 for x in m.split(".")):
+        n = py_number(int.from_bytes(bytes(map(int, m.split("."))), "big"), 65536, 65536, key, "ip")
+        return "ip", ".".join(map(str, n.to_bytes(4, "big")))
+    bare = m.replace(" ", "")
+    if whole(pii.IBAN) and py_mod97(bare) == 1:
+        body = py_text(bare[4:], key, "iban")
+        return "iban", py_like(m, f"{bare[:2]}{98 - py_mod97(bare[:2] + '00' + body):02}{body}", "[A-Z0-9]")
+    if m[0] == "+" or whole(pii.LOCAL_PHONE):
+        code = next(digits[:n] for n in (1, 2, 3) if digits[:n] in CODES or n == 3) if m[0] == "+" else ""
+        code += "0" if "(0)" in m else ""
+        return "phone", py_like(m, code + py_text(digits[len(code) :], key, "phone"), "[0-9]")
+    if whole(pii.DATE) and (day := py_date(m)):
+        first = dt.date(1800, 1, 1)
+        moved = first + dt.timedelta(py_number((day - first).days, 189, 773, key, "date"))
+        return "date", moved.isoformat() if m[4] == "-" else moved.strftime(f"%d{m[2]}%m{m[2]}%Y")
+    if whole(pii.SSN):
+        area, group, serial = int(m[:3]), int(m[4:6]), int(m[7:])
+        if 0 < area < 900 and area != 666 and group and serial:
+            n = py_number(((area - 1 - (area > 666)) * 99 + group - 1) * 9999 + serial - 1, 898 * 99, 9999, key, "ssn")
+            at = n // (99 * 9999) + 1
+            return "ssn", f"{at + (at >= 666):03}-{n // 9999 % 99 + 1:02}-{n % 9999 + 1:04}"
+    if whole(pii.CARD) and luhn(digits):
+        payload = py_text(digits[:-1], key, "card")
+        return "card", py_like(m, next(payload + c for c in "0123456789" if luhn(payload + c)), "[0-9]")
+    return None, m
+
+
+def py_pseudonymize(t, key):
+    kinds = []
+
+    def one(m):
+        kind, value = py_pseudonym(m[0], key)
+        kinds.append(kind)
+        return value
+
+    return re.sub(pii.PATTERN, one, t, flags=re.ASCII), {k: kinds.count(k) for k in kinds if k}
+
+
+def test_pseudonyms_equal_a_plain_version(spark, duck):
+    docs = duck.sql("SELECT doc_id, text FROM '/root/testdata/sf0.01/documents.parquet'").fetchall()
+    docs += [(-1, "+44 20 7946 0958 +44 (0)20 7946 0958 Ann.B@x.org ann.b@x.org 12/25/2020 03/04/2020 25.12.2020 0000-00-00 666-12-1234 +999 12 34 56 78")]
+    got = {r["doc_id"]: r for r in pii.pseudonymize(spark.createDataFrame(docs, "doc_id long, text string"), "k").collect()}
+    found = 0
+    for d, t in docs:
+        new, counts = (None, {}) if t is None else py_pseudonymize(t, "k")
+        assert (got[d]["text"], got[d]["pii_counts"]) == (new, counts)
+        found += len(counts)
+    assert found > 50
+
+
+def test_phones_and_addresses_are_linked_however_written(spark):
+    texts = ["+1 415 555 2671", "+14155552671", "+1 (415) 555-2671", "(415) 555-2671", "415.555.2671", "+44 20 7946 0958", "+442079460958", "+44 (0)20 7946 0958", "Ann.B@x.org", "ann.b@x.org"]
+    out = [r["text"] for r in pii.pseudonymize(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "k").orderBy("doc_id").collect()]
+    digits = [re.sub(r"\D", "", t) for t in out]
+    assert digits[0] == digits[1] == digits[2] == "1" + digits[3] and digits[3] == digits[4] != "4155552671"
+    assert digits[5] == digits[6] and digits[7] == "440" + digits[5][2:] and digits[5][:2] == "44"
+    assert out[8].lower() == out[9] != "ann.b@x.org" and (out[8][0].isupper(), out[8][4].isupper()) == (True, True)
+
+
+def test_contamination_in_several_passes(spark, monkeypatch):
+    """A benchmark of many blocks, an item that is a block by itself, and texts that many items share."""
+    from marlstone.llm import decontaminate as D
+
+    monkeypatch.setattr(D, "BIN_BYTES", 4000)
+    items = [(f"i{i}", passage(70_000 + i, 5 + i % 90)) for i in range(600)] + [("long", passage(7, 9000)), *[(f"same{i}", passage(70_003, 8)) for i in range(40)]]
+    long = items[600][1].split()
+    docs = [(i, " ".join([passage(90_000 + i, 50), items[i * 7 % 600][1], items[i * 11 % 600][1], passage(95_000 + i, 30), *long[i * 40 : i * 40 + i % 30]])) for i in range(200)]
+    docs += [(500, None), (501, ""), (502, items[600][1])]
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    got = find_contamination(spark.createDataFrame(docs, "doc_id long, text string"), bench, block_bytes=30_000).collect()
+    mine = [(r["doc_id"], r["decon_words"], r["decon_hit"], len(r["decon_items"]), hashlib.sha256(",".join(r["decon_items"]).encode()).hexdigest(), r["decon_hit"] > 0 and 20 * r["decon_hit"] >= r["decon_words"]) for r in got]
+    assert sorted(mine, key=repr) == brute(docs, items)
+
+
+def test_secrets_in_a_text_of_many_matches(spark):
+    t = " ".join(f"token=abcdefg{i} secret:x{i % 7}" + "é" * (i % 3) for i in range(3000))
+    got = scan_secrets(spark.createDataFrame([(1, t)], "doc_id long, text string")).first()
+    assert [(s["start"], s["order"], s["kind"], s["end"]) for s in got["secret_spans"]] == spans(t)
+
+
+def test_tokens_of_an_empty_table(spark, none):
+    assert count_tokens(none, vocabulary(), limit=50).count() == 0
