@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -11,6 +13,16 @@ from pyspark.sql.window import Window
 ONE_TASK = 1_000_000
 
 
+def checkpoint_folder(spark: SparkSession) -> None:
+    """Checkpoints go to spark.checkpoint.dir; where that is unset and everything runs on one machine, to a temporary folder."""
+    context = spark.sparkContext
+    if context._jsc.sc().getCheckpointDir().isEmpty():
+        at = spark.conf.get("spark.checkpoint.dir", None)
+        if not at and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(at or tempfile.mkdtemp(prefix="marlstone-"))
+
+
 def surrogate_keys(new: DataFrame, order: list[str], name: str, start: int = 0, parallel: bool | None = None) -> DataFrame:
     """Numbers start + 1, start + 2, ... in the order of unique columns ``order``.
 
@@ -22,7 +34,8 @@ def surrogate_keys(new: DataFrame, order: list[str], name: str, start: int = 0,
     if not parallel:
         return new.withColumn(name, (F.row_number().over(Window.orderBy(*order)) + start).cast("bigint"))
     parts = new.repartitionByRange(*order).withColumn("__part", F.spark_partition_id())
-    parts = parts.checkpoint() if new.sparkSession.conf.get("spark.checkpoint.dir", None) else parts.persist()
+    checkpoint_folder(new.sparkSession)
+    parts = parts.checkpoint()  # a lost executor must not number rows anew
     counts = parts.groupBy("__part").count()
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(F.col("__part").alias("__p"), F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__before"))

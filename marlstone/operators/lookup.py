@@ -62,6 +62,19 @@ def date_interval_lookup(fact: DataFrame, dim: DataFrame, on: dict[str, str], at
     return _joined(fact, dim, _on(on) & day.between(F.col(f"d.{start}"), F.col(f"d.{end}")), take, defaults, on, False)
 
 
+def daily_lookup(fact: DataFrame, dim: DataFrame, on: dict[str, str], at: str, take: dict[str, str], defaults: dict | None = None, start: str = "valid_from_date", end: str = "valid_to_date") -> DataFrame:
+    """As date_interval_lookup, with the intervals carried forward to days: an equi-join on key and day, so that a fact is
+    compared with one row and not with every interval of its key. Open intervals are carried to the last start or closed end;
+    a later day counts as that one. For dense intervals, such as rates."""
+    closed = F.when(F.col(end) < F.lit("9999-12-31").cast("date"), F.col(end))
+    last = dim.agg(F.greatest(F.max(start), F.max(closed)).alias("last")).first()["last"]  # one row of a small dimension
+    if last is None:
+        return date_interval_lookup(fact, dim, on, at, take, defaults, start, end)
+    days = dim.withColumn("__day", F.explode(F.sequence(F.col(start), F.least(F.col(end), F.lit(last)))))
+    keyed = fact.withColumn("__day", F.least(F.col(at).cast("date"), F.lit(last)))
+    return _joined(keyed, days, _on({**on, "__day": "__day"}), take, defaults, on, False).drop("__day")
+
+
 def checked_date_key(fact: DataFrame, dim_date: DataFrame, at: str, name: str) -> DataFrame:
     """A date key computed from ``at`` and kept only if the calendar has it; else the unknown member."""
     from ..functions.dates import date_key

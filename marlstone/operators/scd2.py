@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -59,10 +59,25 @@ def build_versions(
 
 @dataclass
 class Merged:
-    """The dimension after a merge, and one row of statistics. Both are lazy."""
+    """The dimension after a merge, and one row of statistics. All are lazy.
+
+    A store that rewrites files uses the changes alone: ``closers`` (keys and the instant at which their open version
+    ends, see close_versions) and ``inserts`` (new versions); ``chain`` is what both come from.
+    """
 
     result: DataFrame
     stats: DataFrame
+    inserts: DataFrame
+    closers: DataFrame | None = None
+    chain: DataFrame | None = None
+
+
+def close_versions(target: DataFrame, closers: DataFrame, keys: list[str], stamp: dict[str, Column] | None = None) -> DataFrame:
+    """``target`` with the open versions of some keys ended; ``stamp`` columns are set where that happens."""
+    joined = target.join(closers, [F.col(k) == F.col(f"__c_{k}") for k in keys], "left")
+    joined = joined.withColumn("__ends", F.col("is_current") & F.col("__close").isNotNull())
+    values = {"valid_to": F.col("__close"), "is_current": F.lit(False), **(stamp or {})}
+    return joined.select(*[F.when(F.col("__ends"), values[c]).otherwise(F.col(c)).alias(c) if c in values else F.col(c) for c in target.columns])
 
 
 def merge_scd2(target: DataFrame | None, changes: DataFrame, keys: list[str], effective: str, op: str | None = None, delete_op: str = "D", tie: list[str] | None = None) -> Merged:
@@ -74,7 +89,7 @@ def merge_scd2(target: DataFrame | None, changes: DataFrame, keys: list[str], ef
     if target is None:
         chain = build_versions(changes, keys, effective, op, delete_op, tie=tie)
         stats = chain.agg(F.count(F.lit(1)).cast("bigint").alias("versions_written"), zero.alias("keys_closed"), zero.alias("rows_replayed"), zero.alias("rows_stale"))
-        return Merged(chain, stats)
+        return Merged(chain, stats, chain)
     ended = F.max(F.when(~F.col("is_current"), F.col("valid_to")))
     state = target.groupBy(*keys).agg(
         F.greatest(F.max("valid_from"), ended).alias("__known"), F.max(F.when(F.col("is_current"), F.col("_scd_hash"))).alias("_scd_hash")
@@ -88,10 +103,8 @@ def merge_scd2(target: DataFrame | None, changes: DataFrame, keys: list[str], ef
     chain = build_versions(fresh, keys, effective, op, delete_op, prior, tie, keep_deletes=True)
     closers = chain.groupBy(*[F.col(k).alias(f"__c_{k}") for k in keys]).agg(F.min("valid_from").alias("__close"))
     inserts = chain.filter(~F.col("__deleted")).drop("__deleted")
-    joined = target.join(closers, [F.col(k) == F.col(f"__c_{k}") for k in keys], "left")
-    close = F.col("is_current") & F.col("__close").isNotNull()
-    kept = joined.withColumn("valid_to", F.when(close, F.col("__close")).otherwise(F.col("valid_to"))).withColumn("is_current", F.col("is_current") & ~close)
-    result = kept.select(*target.columns).unionByName(inserts.select(*[c for c in target.columns if c in inserts.columns]), allowMissingColumns=True)
+    kept = close_versions(target, closers, keys)
+    result = kept.unionByName(inserts.select(*[c for c in target.columns if c in inserts.columns]), allowMissingColumns=True)
     # A late row is a replay if some version of its key begins or ends at its instant.
     marks = target.select(*[F.col(k).alias(f"__m_{k}") for k in keys], F.explode(F.array("valid_from", "valid_to")).alias("__m_at")).distinct()
     seen = late.join(marks, [*[F.col(k) == F.col(f"__m_{k}") for k in keys], at == F.col("__m_at")], "left")
@@ -99,4 +112,4 @@ def merge_scd2(target: DataFrame | None, changes: DataFrame, keys: list[str], ef
     open_keys = target.filter("is_current").select(*[F.col(k).alias(f"__o_{k}") for k in keys])
     closed = closers.join(open_keys, [F.col(f"__c_{k}") == F.col(f"__o_{k}") for k in keys], "left_semi").agg(F.count(F.lit(1)).cast("bigint").alias("keys_closed"))
     written = inserts.agg(F.count(F.lit(1)).cast("bigint").alias("versions_written"))
-    return Merged(result, written.crossJoin(closed).crossJoin(counts))
+    return Merged(result, written.crossJoin(closed).crossJoin(counts), inserts, closers, chain)

@@ -23,7 +23,8 @@ def now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 
 
-def _retried(what):
+def retried(what):
+    """Do it again, from reading on, when another writer was faster."""
     for i in range(TRIES):
         try:
             return what()
@@ -50,7 +51,7 @@ def set_watermark(store: TableStore, entity: str, layer: str, value: str, batch_
             new = old.filter(~((F.col("entity") == entity) & (F.col("layer") == layer))).unionByName(new)
         store.write(new.coalesce(1), META, "watermark", "overwrite")
 
-    _retried(once)
+    retried(once)
 
 
 def reset_watermark(store: TableStore, entity: str | None = None, layer: str | None = None) -> None:
@@ -62,12 +63,12 @@ def reset_watermark(store: TableStore, entity: str | None = None, layer: str | N
         hit = (F.col("entity") == entity if entity else F.lit(True)) & (F.col("layer") == layer if layer else F.lit(True))
         store.write(store.read(META, "watermark").filter(~hit).coalesce(1), META, "watermark", "overwrite")
 
-    _retried(once)
+    retried(once)
 
 
 def append(store: TableStore, name: str, rows: list[tuple], schema: str) -> None:
     if rows:
-        _retried(lambda: store.write(store.spark.createDataFrame(rows, schema).coalesce(1), META, name, "append"))
+        retried(lambda: store.write(store.spark.createDataFrame(rows, schema).coalesce(1), META, name, "append"))
 
 
 class Step:

@@ -16,8 +16,8 @@ from ..operators.aggregate import union_of_grains
 from ..operators.calendar import date_range, dim_date
 from ..operators.contracts import types_for
 from ..operators.intervals import closed_intervals
-from ..operators.lookup import UNKNOWN, chained_lookup, checked_date_key, date_interval_lookup, lookup, not_in, only_in, pit_lookup
-from ..operators.merge import rebuild_groups, replace_by_key, resync
+from ..operators.lookup import UNKNOWN, chained_lookup, checked_date_key, daily_lookup, lookup, not_in, only_in, pit_lookup
+from ..operators.merge import rebuild_groups, resync
 
 REPORTING = "GBP"
 _D, _T = dt.date, dt.datetime
@@ -124,7 +124,7 @@ def fact_transaction(tx: DataFrame, d: dict[str, DataFrame]) -> DataFrame:
     f = lookup(f, F.broadcast(d["dim_decline_reason"]), {"decline_reason_code": "decline_reason_code"}, {"decline_reason_sk": "decline_reason_sk"}, unknown)
     f = lookup(f, d["dim_card_product"], {"card_product_code": "card_product_code"}, {"card_product_sk": "card_product_sk"}, unknown)
     rates = d["dim_fx_rate"].filter(F.col("to_currency") == REPORTING)
-    f = date_interval_lookup(f, rates, {"currency_code": "from_currency"}, "auth_ts", {"__rate": "rate", "__rate_date": "rate_date"})
+    f = daily_lookup(f, rates, {"currency_code": "from_currency"}, "auth_ts", {"__rate": "rate", "__rate_date": "rate_date"})
     rate = F.when(F.col("currency_code") == REPORTING, F.lit(1).cast("decimal(18,8)")).otherwise(F.col("__rate"))
     day, status = F.col("auth_ts").cast("date"), F.col("status")
     optional = lambda c: F.col(c) if c in tx.columns else F.lit(None).cast("string").alias(c)
@@ -198,30 +198,53 @@ def load(store, batch_id: str = "full", stage: dict[str, DataFrame] | None = Non
             return spark.createDataFrame([], ", ".join(f"{c} {t}" for c, t in types_for("disputes").items()))
         return store.read("silver", n)
 
-    prior = lambda n: store.read("gold", n) if store.exists("gold", n) else None
-    stamp = lambda df: df.withColumns({"load_batch_id": F.lit(batch_id), "loaded_ts": F.current_timestamp()})
-    bare = lambda n: None if prior(n) is None else prior(n).drop("load_batch_id", "loaded_ts")
+    stamps = lambda: {"load_batch_id": F.lit(batch_id), "loaded_ts": F.current_timestamp()}
+    bases = {n: store.version("gold", n) for n in ORDER}
+    prior = lambda n: store.read("gold", n, bases[n]).drop(*stamps()) if bases[n] else None
     done: dict[str, int] = {}
 
-    def put(name: str, df: DataFrame, not_null: list[str]) -> None:
-        done[name] = store.write(df if name in ("dim_currency", "dim_decline_reason", "dim_date") else stamp(df), "gold", name, "overwrite", not_null=not_null)
+    def put(name: str, df: DataFrame, not_null: list[str], key: str | None = None) -> None:
+        """A whole table; with ``key`` rows that did not change keep their stamps."""
+        if name not in ("dim_currency", "dim_decline_reason", "dim_date"):
+            df = _stamped(df, store.read("gold", name, bases[name]) if key and bases[name] else None, key, stamps())
+        done[name] = store.write(df, "gold", name, "overwrite", not_null=not_null, base_version=bases[name])
+
+    def replace(name: str, fresh: DataFrame, groups: DataFrame, column: str, not_null: list[str]) -> None:
+        """``fresh`` in place of the rows of some keys or days: the files that hold such rows are rewritten, other rows
+        stay as they were, stamps and all."""
+        fresh = fresh.withColumns(stamps())
+        if not bases[name]:
+            done[name] = store.write(fresh, "gold", name, "overwrite", not_null=not_null, base_version=0)
+            return
+        gone = groups.select(F.col(column).alias("__g")).distinct()
+        hit = lambda t: t.join(gone, F.col(column) == F.col("__g"), "left_semi")
+        store.merge("gold", name, hit, lambda t: rebuild_groups(t, fresh, groups, column), not_null, bases[name], "replace")
+        done[name] = store.row_count("gold", name)
 
     put("dim_currency", dim_currency(spark), ["currency_sk"])
     put("dim_decline_reason", dim_decline_reason(spark), ["decline_reason_sk"])
     tx, disputes = silver("fact_transaction"), silver("fact_dispute")
     span = date_range([(silver("fact_transaction", False), "auth_ts"), (silver("fact_dispute", False), "raised_date"), (silver("fact_dispute", False), "resolved_date")])
     put("dim_date", dim_date(spark, *span), ["date_sk"])
-    put("dim_card_product", dim_card_product(bare("dim_card_product"), silver("dim_card_product")), ["card_product_sk"])
+    put("dim_card_product", dim_card_product(prior("dim_card_product"), silver("dim_card_product")), ["card_product_sk"], "card_product_sk")
     for name in ("dim_account", "dim_customer", "dim_merchant"):
-        put(name, versioned_dimension(name, bare(name), silver(name)), [_specs()[name].key, "valid_from", "valid_to"])
-    put("dim_fx_rate", dim_fx_rate(silver("dim_fx_rate")), ["fx_rate_sk"])
+        key = _specs()[name].key
+        put(name, versioned_dimension(name, prior(name), silver(name)), [key, "valid_from", "valid_to"], key)
+    put("dim_fx_rate", dim_fx_rate(silver("dim_fx_rate")), ["fx_rate_sk"], "fx_rate_sk")
     d = {n: store.read("gold", n) for n in done}
-    fresh = fact_transaction(tx, d)
-    old = bare("fact_transaction")
-    put("fact_transaction", fresh if old is None else replace_by_key(old, fresh, ["transaction_id"]), ["transaction_id", "date_sk", "account_sk", "merchant_sk"])
-    fact = store.read("gold", "fact_transaction").drop("load_batch_id", "loaded_ts")
-    fresh, old = fact_dispute(disputes, fact, d), bare("fact_dispute")
-    put("fact_dispute", fresh if old is None else replace_by_key(old, fresh, ["dispute_id"]), ["dispute_id", "raised_date_sk"])
-    settled = store.read("gold", "fact_dispute").drop("load_batch_id", "loaded_ts")
-    put("agg_merchant_daily", rebuild_agg(bare("agg_merchant_daily"), fact, settled, affected_days(tx, disputes)), ["date_sk", "merchant_sk"])
+    replace("fact_transaction", fact_transaction(tx, d), tx, "transaction_id", ["transaction_id", "date_sk", "account_sk", "merchant_sk"])
+    fact = store.read("gold", "fact_transaction").drop(*stamps())
+    replace("fact_dispute", fact_dispute(disputes, fact, d), disputes, "dispute_id", ["dispute_id", "raised_date_sk"])
+    settled = store.read("gold", "fact_dispute").drop(*stamps())
+    days = affected_days(tx, disputes)
+    replace("agg_merchant_daily", rebuild_agg(None, fact, settled, days), days, "date_sk", ["date_sk", "merchant_sk"])
     return done
+
+
+def _stamped(df: DataFrame, old: DataFrame | None, key: str | None, stamps: dict[str, Column]) -> DataFrame:
+    """Rows with their load stamps; those that ``old`` has just so keep what it says."""
+    if old is None:
+        return df.withColumns(stamps)
+    was = old.select(F.col(key).alias("__k"), F.xxhash64(*[F.col(c) for c in df.columns]).alias("__was"), *[F.col(c).alias(f"__{c}") for c in stamps])
+    met = df.join(was, (F.col(key) == F.col("__k")) & (F.xxhash64(*[F.col(c) for c in df.columns]) == F.col("__was")), "left")
+    return met.select(*df.columns, *[F.coalesce(F.col(f"__{c}"), now).alias(c) for c, now in stamps.items()])

@@ -12,9 +12,9 @@ from ..operators import contracts, quality
 from ..operators.dedupe import dedupe_grain, newest
 from ..operators.merge import assert_unique, upsert_if_changed
 from ..operators.project import AUDIT, add_audit_columns, in_window
-from ..operators.scd2 import merge_scd2
+from ..operators.scd2 import close_versions, merge_scd2
 from ..sources.landing import Landing
-from ..sources.store import TableStore
+from ..sources.store import TableStore, balanced
 from . import control
 from .config import LOAD_TYPES
 
@@ -81,7 +81,7 @@ def run_bronze(lake: Lake, config: dict, until_date: str = "", force_reload: boo
         else:
             mode = "replace_tag"
         by = config["partition_column"]
-        s.rows_read = s.rows_written = lake.store.write(df.repartition(by), "bronze", bronze_name(entity), mode, [by], config["allow_schema_evolution"], s.batch_id)
+        s.rows_read = s.rows_written = lake.store.write(balanced(df, [by]), "bronze", bronze_name(entity), mode, [by], config["allow_schema_evolution"], s.batch_id)
         control.set_watermark(lake.store, entity, "bronze", window[-1], s.batch_id)
         return s.rows_written
 
@@ -93,35 +93,53 @@ def references(lake: Lake, rules: list[quality.Rule]) -> dict:
 
 def write_silver(lake: Lake, config: dict, df: DataFrame, batch_id: str) -> int:
     """By type of history: 2 merges versions, 1 replaces the table, 0 updates rows whose content changed. The result is
-    the number of rows that changed, not the number that came."""
+    the number of rows that changed, not the number that came. Merges rewrite the files that hold changed rows; a commit of
+    another writer in between is a conflict."""
     name, keys = config["target_table"], [k.strip() for k in config["merge_keys"].split(",")]
-    old = lake.store.read("silver", name) if lake.store.exists("silver", name) else None
+    base = lake.store.version("silver", name)
+    old = lake.store.read("silver", name, base) if base else None
     if config["scd_type"] == 2:
-        payload = df.drop(*[c for c in AUDIT if c in df.columns], config["partition_column"])
-        merged = merge_scd2(old.drop("_batch_id", "_updated_ts") if old is not None else None, payload, keys, config["effective_from_column"], config["op_column"])
-        stats = merged.stats.first()
-        if stats["versions_written"] + stats["keys_closed"] == 0 and old is not None:
-            return 0
-        if old is None:
-            out = merged.result.withColumns({"_batch_id": F.lit(batch_id), "_updated_ts": F.current_timestamp()})
-        else:
-            # Rows that this batch didn't touch keep the batch that made them.
-            was = old.select(*[F.col(k).alias(f"__{k}") for k in keys], F.col("valid_from").alias("__vf"), F.col("valid_to").alias("__vt"), "_batch_id", "_updated_ts")
-            same = [F.col(k) == F.col(f"__{k}") for k in keys] + [F.col("valid_from") == F.col("__vf"), F.col("valid_to") == F.col("__vt")]
-            out = merged.result.join(was, same, "left").drop("__vf", "__vt", *[f"__{k}" for k in keys])
-            out = out.withColumns({"_batch_id": F.coalesce("_batch_id", F.lit(batch_id)), "_updated_ts": F.coalesce("_updated_ts", F.current_timestamp())})
-        lake.store.write(out, "silver", name, "overwrite", not_null=[*keys, "valid_from", "valid_to"])
-        return stats["versions_written"] + stats["keys_closed"]
+        return _write_versions(lake, config, df, batch_id, name, keys, base, old)
     out = df.withColumns({"_silver_batch_id": F.lit(batch_id), "_silver_ts": F.current_timestamp()})
     if config["scd_type"] == 1 or old is None:
-        return lake.store.write(out, "silver", name, "overwrite", not_null=keys)
+        return lake.store.write(out, "silver", name, "overwrite", not_null=keys, base_version=base)
     assert_unique(out, keys)
-    target = old.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in out.schema if f.name not in old.columns])
-    merged = upsert_if_changed(target, out, keys, action="__action").persist()
-    changed = merged.filter("__action <> 'unchanged'").count()
-    if changed:
-        lake.store.write(merged.drop("__action"), "silver", name, "overwrite", not_null=keys)
-    merged.unpersist()
+    known = old.select(*[F.col(k).alias(f"__k_{k}") for k in keys], F.col("_row_hash").alias("__had"))
+    met = out.join(known, [F.col(k) == F.col(f"__k_{k}") for k in keys], "left")
+    new = F.col(f"__k_{keys[0]}").isNull()
+    change = met.withColumn("__new", new).filter(new | ~F.col("_row_hash").eqNullSafe(F.col("__had"))).drop("__had", *[f"__k_{k}" for k in keys]).persist()
+    try:
+        if changed := change.count():
+            updates = change.filter("not __new").select(*[F.col(k).alias(f"__k_{k}") for k in keys])
+            hit = lambda t: t.join(updates, [F.col(k) == F.col(f"__k_{k}") for k in keys], "left_semi")
+            rows = change.drop("__new")
+            wide = lambda t: t.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema if f.name not in t.columns])
+            lake.store.merge("silver", name, hit, lambda t: upsert_if_changed(wide(t), rows, keys), keys, base)
+    finally:
+        change.unpersist()
+    return changed
+
+
+def _write_versions(lake: Lake, config: dict, df: DataFrame, batch_id: str, name: str, keys: list[str], base: int, old: DataFrame | None) -> int:
+    payload = df.drop(*[c for c in AUDIT if c in df.columns], config["partition_column"])
+    merged = merge_scd2(old.drop("_batch_id", "_updated_ts") if old is not None else None, payload, keys, config["effective_from_column"], config["op_column"])
+    stamp = {"_batch_id": F.lit(batch_id), "_updated_ts": F.current_timestamp()}
+    required = [*keys, "valid_from", "valid_to"]
+    if old is None:
+        stats = merged.stats.first()
+        lake.store.write(merged.result.withColumns(stamp), "silver", name, "overwrite", not_null=required, base_version=base)
+        return stats["versions_written"] + stats["keys_closed"]
+    merged.chain.persist()
+    try:
+        stats = merged.stats.first()
+        changed = stats["versions_written"] + stats["keys_closed"]
+        if changed:
+            # Open versions of the keys that change are all that an old file can lose; rows that stay keep their stamps.
+            hit = lambda t: t.filter("is_current").join(merged.closers, [F.col(k) == F.col(f"__c_{k}") for k in keys], "left_semi")
+            result = lambda t: close_versions(t, merged.closers, keys, stamp).unionByName(merged.inserts.withColumns(stamp), allowMissingColumns=True)
+            lake.store.merge("silver", name, hit, result, required, base)
+    finally:
+        merged.chain.unpersist()
     return changed
 
 
@@ -160,7 +178,7 @@ def run_silver(lake: Lake, config: dict, until_date: str = "", force_reload: boo
             s.rows_deduped += typed.rows_in - typed.rows_quarantined - gate.rows_in
             try:
                 gate.raise_if_failed(entity)
-                total += write_silver(lake, config, gate.clean, batch_id)
+                total += control.retried(lambda clean=gate.clean, batch=batch_id: write_silver(lake, config, clean, batch))
             finally:
                 gate.release()
                 typed.release()

@@ -26,8 +26,21 @@ class Files:
             return []
         return sorted(s.getPath().getName() for s in self._fs.listStatus(self._path(p)))
 
+    def below(self, p: str) -> list[str]:
+        """Data files below a directory, as paths relative to it."""
+        out, stack = [], [""]
+        while stack:
+            at = stack.pop()
+            for s in self._fs.listStatus(self._path(p + at)):
+                name = s.getPath().getName()
+                if s.isDirectory():
+                    stack.append(f"{at}/{name}")
+                elif not name.startswith(("_", ".")):
+                    out.append(f"{at}/{name}"[1:])
+        return sorted(out)
+
     def size(self, p: str) -> tuple[int, int]:
-        """Data files and bytes below a directory; hidden files don't count."""
+        """Data files and bytes below a directory, or of a file; hidden files don't count."""
         files = total = 0
         stack = [self._path(p)]
         while stack:
