@@ -2,7 +2,7 @@
 
 import pytest
 
-from marlstone import catalog
+from marlstone import catalog, lake_catalog  # noqa: F401
 
 
 def plain(v):
