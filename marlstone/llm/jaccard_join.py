@@ -33,6 +33,7 @@ from functools import cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,8 +49,12 @@ SLICE, SLICE_DOCS = 2 << 20, 50_000
 BLOCK, OFFERS = 256, 3
 #: Parts in which a bucket's entries are grouped.
 PASSES = 8
+#: Index entries that a task holds before it sorts and sends them.
+FLUSH = 1_000_000
 HEAD = [("id", "<u8"), ("label", "<u8"), ("slack", "<i4"), ("turn", "u1")]
 BODY = [("sig", "<u4"), ("at", "<u4")]
+MARK = [("sig", "<u4"), ("label", "<u8"), ("differ", "u1")]
+MEMBER = [*HEAD, ("sig", "<i8"), ("loss", "u1")]
 U = np.uint64
 
 
@@ -187,7 +192,7 @@ def _pieces(off: np.ndarray, most: int = SLICE):
 
 
 def describe(docs: DataFrame, id: str, text: str, n: int, percent: int) -> DataFrame:
-    """Per row: its id, set size, node name and first-round index entries."""
+    """Per row: its columns but the text, set size, node name and first-round index entries."""
 
     def run(columns: list[pa.Array]) -> list[pa.Array]:
         data, off, _ = text_buffers(columns[0])
@@ -204,7 +209,7 @@ def describe(docs: DataFrame, id: str, text: str, n: int, percent: int) -> DataF
         offsets = np.cumsum([0, *map(len, first)]).astype(np.int32)
         return [pa.array(size, pa.int64()), pa.array(name, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))]
 
-    return annotate(docs, run, "n_shingles long, node binary, first array<long>", [text], [id])
+    return annotate(docs, run, "n_shingles long, node binary, first array<long>", [text], [c for c in docs.columns if c != text])
 
 
 def _texts(docs: DataFrame, nodes: DataFrame, id: str, text: str, n: int) -> DataFrame:
@@ -264,100 +269,203 @@ def _first_round(nodes: DataFrame) -> DataFrame:
     return pairs.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
 
 
+class Entries:
+    """Index entries of some documents, and their owners."""
+
+    def __init__(self):
+        self.heads, self.sig, self.own, self.loss, self.held, self.size = [], [], [], [], 0, 0
+
+    def add(self, sets: list[np.ndarray], label: list, percent: int) -> None:
+        names = np.array([int.from_bytes(node_name(s)[:8], "big") for s in sets], U)
+        labels = np.array([names[i] if x is None else x & 0xFFFFFFFFFFFFFFFF for i, x in enumerate(label)], U)
+        sig, who, loss, slack = index_entries(sets, percent)
+        if not len(sig):
+            return
+        level = np.array([k for s in sets for k in ([x[2] for x in instances(len(s), percent)] if len(s) else [0, 0])])
+        head = np.zeros(2 * len(sets), HEAD)
+        turn = np.arange(2 * len(sets))
+        head["id"], head["label"], head["slack"], head["turn"] = names[turn >> 1], labels[turn >> 1], slack, (turn & 1) | level << 1
+        self.heads.append(head)
+        self.sig.append(sig)
+        self.own.append(who + self.held)
+        self.loss.append(loss.astype(np.uint8))
+        self.held += len(head)
+        self.size += len(sig)
+
+    def arrays(self, count: int):
+        """Owners; for each entry its key (bucket and 32 bits of the hash), owner and loss, in the order of keys. Of equal
+        sets, which are one node, one counts."""
+        head, sig, own, loss = (np.concatenate(x) for x in (self.heads, self.sig, self.own, self.loss))
+        first = np.zeros(len(head), bool)
+        first[np.unique(np.stack([head["id"], head["turn"].astype(U)], 1), axis=0, return_index=True)[1]] = True
+        keep = first[own]
+        sig, own, loss = sig[keep], own[keep], loss[keep]
+        key = (((sig >> U(32)) * U(count)) >> U(32)) << U(32) | (sig & U(0xFFFFFFFF))
+        order = np.argsort(key, kind="stable")
+        return head, key[order].view(np.int64), own[order], loss[order]
+
+
+def _binary(data: np.ndarray, cut: np.ndarray) -> pa.Array:
+    """Pieces of an array of records, as bytes."""
+    offsets = (cut * data.dtype.itemsize).astype(np.int64)
+    whole = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(cut) - 1, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data.tobytes())])
+    return whole.cast(pa.binary())
+
+
+def _sent(entries: Entries, count: int, number: int) -> pa.RecordBatch:
+    """What a task sends: by bucket, owners, entries and marks. A group of hashes that is large already here does not go
+    to its bucket but for a mark: if its labels differ, its members go along, to no particular task; if they don't, none
+    does, until another label turns up."""
+    head, key, own, loss = entries.arrays(count)
+    start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    size, label = np.diff(start, append=len(key)), head["label"][own]
+    low, high = np.minimum.reduceat(label, start), np.maximum.reduceat(label, start)
+    large = size > MANY
+    mark = np.zeros(int(large.sum()), MARK)
+    mark["sig"], mark["label"], mark["differ"] = (key[start[large]] & 0xFFFFFFFF).astype(np.uint32), low[large], low[large] != high[large]
+    mark_bucket = key[start[large]] >> 32
+    gone, out = np.repeat(large, size), np.repeat(large & (low != high), size)
+    member = np.zeros(int(out.sum()), MEMBER)
+    for c in ("id", "label", "slack", "turn"):
+        member[c] = head[c][own[out]]
+    member["sig"], member["loss"] = key[out], loss[out]
+    key, own, loss = key[~gone], own[~gone], loss[~gone]
+
+    bucket, rank = np.unique(np.concatenate([key >> 32, mark_bucket]), return_inverse=True)
+    rank, mark_rank = rank[: len(key)], rank[len(key) :]
+    pair, back = np.unique(rank << 32 | own, return_inverse=True)
+    cuts = lambda r: np.searchsorted(r, np.arange(len(bucket) + 1))
+    head_cut = cuts(pair >> 32)
+    body = np.zeros(len(key), BODY)
+    body["sig"], body["at"] = (key & 0xFFFFFFFF).astype(np.uint32), (back - head_cut[rank]) << 2 | loss
+    columns = [_binary(head[pair & 0xFFFFFFFF], head_cut), _binary(body, cuts(rank)), _binary(mark, cuts(mark_rank)), pa.array([b""] * len(bucket), pa.binary())]
+    if len(member):  # below zero: no bucket of hashes
+        columns = [pa.concat_arrays([c, pa.array([x], pa.binary())]) for c, x in zip(columns, (b"", b"", b"", member.tobytes()), strict=True)]
+        bucket = np.append(bucket, -1 - number)
+    return pa.RecordBatch.from_arrays([pa.array(bucket, pa.int64()), *columns], names=["bucket", "heads", "body", "marks", "members"])
+
+
+def _indexed(batches, n: int, percent: int):
+    """The entries of a task's documents, some at a time."""
+    held = Entries()
+    for b in batches:
+        data, off, _ = text_buffers(b.column("t"))
+        label, skip = b.column("label"), np.asarray(b.column("skip").fill_null(False))
+        for lo, hi in _pieces(off):
+            sets = shingle_sets(data[off[lo] : off[hi]], off[lo : hi + 1] - off[lo], n)
+            held.add([s[:0] if skip[lo + i] else s for i, s in enumerate(sets)], label.slice(lo, hi - lo).to_pylist(), percent)
+            if held.size >= FLUSH:
+                yield held
+                held = Entries()
+        trim()
+    if held.size:
+        yield held
+
+
 def _buckets(docs: DataFrame, text: str, n: int, percent: int, count: int) -> DataFrame:
-    """The full index in compact form: for a bucket of hashes, a blob of owners and entries from a slice of documents."""
+    """The full index in compact form: rows of buckets, see _sent."""
+
+    def run(batches):
+        part = TaskContext.get().partitionId()
+        for i, held in enumerate(_indexed(batches, n, percent)):
+            yield _sent(held, count, part << 20 | i)
+
+    importable(docs.sparkSession)
+    return docs.select(F.col(text).alias("t"), "label", "skip").mapInArrow(run, "bucket long, heads binary, body binary, marks binary, members binary")
+
+
+def _members(docs: DataFrame, text: str, n: int, percent: int, count: int) -> DataFrame:
+    """All entries of the documents as rows of large groups' members."""
 
     def run(batches):
-        for b in batches:
-            data, off, _ = text_buffers(b.column("t"))
-            label, skip = b.column("label"), np.asarray(b.column("skip").fill_null(False))
-            for lo, hi in _pieces(off):
-                sets = shingle_sets(data[off[lo] : off[hi]], off[lo : hi + 1] - off[lo], n)
-                sets = [s[:0] if skip[lo + i] else s for i, s in enumerate(sets)]
-                names = np.array([int.from_bytes(node_name(s)[:8], "big") for s in sets], U)
-                labels = np.array([names[i] if x is None else x & 0xFFFFFFFFFFFFFFFF for i, x in enumerate(label.slice(lo, hi - lo).to_pylist())], U)
-                sig, who, loss, slack = index_entries(sets, percent)
-                if not len(sig):
-                    continue
-                level = np.array([k for s in sets for k in ([x[2] for x in instances(len(s), percent)] if len(s) else [0, 0])])
-                at = ((sig >> U(32)) * U(count)) >> U(32)
-                order = np.argsort(at, kind="stable")
-                cut = np.searchsorted(at[order], np.arange(count + 1).astype(U))
-                kept, blobs = [], []
-                for k in range(count):
-                    part = order[cut[k] : cut[k + 1]]
-                    if len(part):
-                        own, idx = np.unique(who[part], return_inverse=True)
-                        head = np.zeros(len(own), HEAD)
-                        head["id"], head["label"], head["slack"], head["turn"] = names[own >> 1], labels[own >> 1], slack[own], (own & 1) | level[own] << 1
-                        body = np.zeros(len(part), BODY)
-                        body["sig"], body["at"] = (sig[part] & U(0xFFFFFFFF)).astype(np.uint32), (idx << 2) | loss[part]
-                        kept.append(k)
-                        blobs.append(len(own).to_bytes(8, "little") + head.tobytes() + body.tobytes())
-                yield pa.RecordBatch.from_arrays([pa.array(kept, pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
-            trim()
+        for held in _indexed(batches, n, percent):
+            head, key, own, loss = held.arrays(count)
+            for lo in range(0, len(key), 100_000):
+                at, k = own[lo : lo + 100_000], key[lo : lo + 100_000]
+                columns = [head["id"][at].view(np.int64), head["label"][at].view(np.int64), head["turn"][at].astype(np.int64), head["slack"][at].astype(np.int64), k, loss[lo : lo + 100_000].astype(np.int64)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["a", "label", "ta", "sa", "sig", "n"])
 
     importable(docs.sparkSession)
-    return docs.select(F.col(text).alias("t"), "label", "skip").mapInArrow(run, "bucket int, blob binary")
+    return docs.select(F.col(text).alias("t"), "label", "skip").mapInArrow(run, "a long, label long, ta long, sa long, sig long, n long")
+
+
+def _rows(kind: int, **columns) -> pd.DataFrame:
+    size = max(map(len, columns.values()))
+    names = ("a", "b", "label", "ta", "tb", "sa", "sb", "sig", "n")
+    given = {c: (v.view(np.int64) if v.dtype == U else v.astype(np.int64)) for c, v in columns.items()}
+    return pd.DataFrame({"kind": np.full(size, kind, np.int32), **{c: given.get(c, np.zeros(size, np.int64)) for c in names}})
 
 
 def _meet(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Pairs with different labels in a bucket's small groups; the members of its large groups with different labels."""
-    bucket = int(pdf["bucket"].iloc[0])
-    heads, sigs, ats, base = [], [], [], 0
-    for blob in pdf["blob"]:
-        size = int.from_bytes(blob[:8], "little")
-        heads.append(np.frombuffer(blob, HEAD, size, 8))
-        body = np.frombuffer(blob, BODY, -1, 8 + np.dtype(HEAD).itemsize * size)
-        sigs.append(body["sig"])
-        ats.append(body["at"] + np.uint32(base << 2))
-        base += size
-    head, every, place = np.concatenate(heads), np.concatenate(sigs), np.concatenate(ats)
-    del heads, sigs, ats
+    """Pairs with different labels in a bucket's small groups; the members of its large groups with different labels; and
+    the hashes of those of which members with one label are still to be told."""
+    bucket, whole = int(pdf["bucket"].iloc[0]), lambda c, kind: np.frombuffer(b"".join(pdf[c]), kind)
+    if bucket < 0:
+        m = whole("members", MEMBER)
+        return _rows(1, a=m["id"].copy(), label=m["label"].copy(), ta=m["turn"], sa=m["slack"], sig=m["sig"].copy(), n=m["loss"])
+    head, body, mark = whole("heads", HEAD), whole("body", BODY), whole("marks", MARK)
+    per = lambda c, kind: pdf[c].map(len).to_numpy() // np.dtype(kind).itemsize
+    owners, base = per("heads", HEAD), np.zeros(len(pdf), np.int64)
+    base[1:] = np.cumsum(owners)[:-1]
+    every = body["sig"]
+    place = (body["at"] + np.repeat(base << 2, per("body", BODY))).astype(np.uint32 if len(head) < 1 << 30 else np.int64)
     turn = head["turn"].astype(np.int64)
-    met, large = [np.zeros((0, 2), np.int64)], []
+    name = lambda sig: np.int64(bucket) << 32 | sig.astype(np.int64)
+    met, large, told = [np.zeros((0, 2), np.int64)], [np.zeros((0, 3), np.int64)], [np.zeros(0, np.int64)]
     for q in range(PASSES):  # a part of the hashes at a time: little memory beside the entries themselves
         part = np.flatnonzero(every // np.uint32((1 << 32) // PASSES) == q)
-        if not len(part):
-            continue
         part = part[np.argsort(every[part], kind="stable")]
         sig, at = every[part], place[part].astype(np.int64)
         owner = at >> 2
-        start = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
-        size = np.diff(start, append=len(sig))
-        label = head["label"][owner]
-        differ = np.minimum.reduceat(label, start) != np.maximum.reduceat(label, start)
-        for k in range(2, MANY + 1):
-            runs = start[differ & (size == k)]
-            if len(runs):
-                i, j = np.triu_indices(k, 1)
-                a, b = owner[(runs[:, None] + i).ravel()], owner[(runs[:, None] + j).ravel()]
-                apart = head["label"][a] != head["label"][b]
-                a, b = a[apart], b[apart]
-                swap = head["id"][a] > head["id"][b]
-                met.append(np.stack([np.where(swap, b, a), np.where(swap, a, b)], 1))
-        big = np.repeat(differ & (size > MANY), size)
-        large.append(np.stack([owner[big], (np.int64(bucket) << 32) | sig[big].astype(np.int64), at[big] & 3], 1))
+        # Marks by hash: least and greatest label, and whether labels differ in one of them.
+        m = mark[mark["sig"] // np.uint32((1 << 32) // PASSES) == q]
+        m = m[np.argsort(m["sig"], kind="stable")]
+        m_start = np.flatnonzero(np.concatenate([[True], m["sig"][1:] != m["sig"][:-1]])[: len(m)])
+        m_sig = m["sig"][m_start]
+        m_low, m_high, m_differ = (f.reduceat(m[c], m_start) if len(m) else m[c] for f, c in ((np.minimum, "label"), (np.maximum, "label"), (np.maximum, "differ")))
+        m_differ = (m_differ > 0) | (m_low != m_high)
+        if len(part):
+            start = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
+            size = np.diff(start, append=len(sig))
+            label = head["label"][owner]
+            low, high = np.minimum.reduceat(label, start), np.maximum.reduceat(label, start)
+            at_mark = np.minimum(np.searchsorted(m_sig, sig[start]), max(len(m_sig) - 1, 0))
+            marked = m_sig[at_mark] == sig[start] if len(m_sig) else np.zeros(len(start), bool)
+            differ = low != high
+            if marked.any():
+                k = at_mark[marked]
+                differ[marked] |= m_differ[k] | (np.minimum(low[marked], m_low[k]) != np.maximum(high[marked], m_high[k]))
+                m_differ[k] |= differ[marked]
+            for k in range(2, MANY + 1):
+                runs = start[differ & ~marked & (size == k)]
+                if len(runs):
+                    i, j = np.triu_indices(k, 1)
+                    a, b = owner[(runs[:, None] + i).ravel()], owner[(runs[:, None] + j).ravel()]
+                    apart = head["label"][a] != head["label"][b]
+                    a, b = a[apart], b[apart]
+                    swap = head["id"][a] > head["id"][b]
+                    met.append(np.stack([np.where(swap, b, a), np.where(swap, a, b)], 1))
+            big = np.repeat(differ & (marked | (size > MANY)), size)
+            large.append(np.stack([owner[big], name(sig[big]), at[big] & 3], 1))
+        alike = m["differ"] == 0  # groups of one label whose members were not sent
+        alike = np.isin(m_sig, m["sig"][alike])
+        told.append(name(m_sig[alike & m_differ]))
     pair, times = np.unique(np.concatenate(met), axis=0, return_counts=True)
     a, b = pair[:, 0], pair[:, 1]
-    large = np.concatenate(large) if large else np.zeros((0, 3), np.int64)
-    own, none = large[:, 0], np.zeros(len(large), np.int64)
-    both = lambda x, y: np.r_[x, y].astype(np.int64, casting="unsafe")
-    out = pd.DataFrame({
-        "big": np.r_[np.zeros(len(pair), bool), np.ones(len(own), bool)],
-        "a": np.r_[head["id"][a], head["id"][own]].view(np.int64), "b": np.r_[head["id"][b], none.view(U)].view(np.int64),
-        "label": np.r_[np.zeros(len(pair), U), head["label"][own]].view(np.int64),
-        "ta": both(turn[a], turn[own]), "tb": both(turn[b], none),
-        "sa": both(head["slack"][a], head["slack"][own]), "sb": both(head["slack"][b], none),
-        "sig": both(np.zeros(len(pair)), large[:, 1]),
-        "n": both(times * np.maximum(turn[a] >> 1, turn[b] >> 1), large[:, 2]),
-    })
+    large, told = np.concatenate(large), np.concatenate(told)
+    own = large[:, 0]
+    out = pd.concat([
+        _rows(0, a=head["id"][a], b=head["id"][b], ta=turn[a], tb=turn[b], sa=head["slack"][a], sb=head["slack"][b], n=times * np.maximum(turn[a] >> 1, turn[b] >> 1)),
+        _rows(1, a=head["id"][own], label=head["label"][own], ta=turn[own], sa=head["slack"][own], sig=large[:, 1], n=large[:, 2]),
+        _rows(2, sig=told),
+    ])
     trim()
     return out
 
 
-#: Of a pair: nodes, turns, spare levels and how often they met. Of a member (big): its label, group and what it loses.
-MEET = "big boolean, a long, b long, label long, ta long, tb long, sa long, sb long, sig long, n long"
+#: Kind 0, a pair: nodes, turns, spare levels and how often they met. 1, a member of a large group: its label, group and
+#: what it loses. 2, a large group some of whose members, of one label, were not sent.
+MEET = "kind int, a long, b long, label long, ta long, tb long, sa long, sb long, sig long, n long"
 
 
 def _link_blocks(n: int, percent: int):
@@ -444,11 +552,15 @@ def _large_groups(left: DataFrame, texts: DataFrame, n: int, percent: int) -> Da
 
 def jaccard_classes(docs: DataFrame, id: str = "doc_id", text: str = "text", n: int = 5, percent: int = 75) -> DataFrame:
     """One row per input row: id, n_shingles, component_id (the smallest id that links reach)."""
-    return settle(lambda: _classes(docs, id, text, n, percent), "jaccard-classes")
+    return settle(lambda: _classes(docs, id, text, n, percent), "jaccard-classes").select(id, "n_shingles", "component_id")
+
+
+def _text_hash(text: str):
+    return F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")))
 
 
 def _classes(docs: DataFrame, id: str, text: str, n: int, percent: int) -> DataFrame:
-    rows = materialize(describe(docs, id, text, n, percent).withColumnRenamed(id, "__id"), "jaccard-rows")
+    rows = materialize(describe(docs.select(F.col(f"`{id}`").alias("__id"), F.col(f"`{text}`").alias("__t"), _text_hash(text).alias("__th")), "__id", "__t", n, percent), "jaccard-rows")
     real = rows.filter(F.length("node") > 0)
     nodes = real.groupBy("node").agg(F.min("__id").alias("rep"), F.first("first").alias("first"), F.max("n_shingles").alias("n"))
     nodes = materialize(nodes, "jaccard-nodes")
@@ -474,7 +586,12 @@ def _classes(docs: DataFrame, id: str, text: str, n: int, percent: int) -> DataF
     marked = docs.select(F.col(id).alias("__d"), text).join(sized(marks), F.col("__d") == F.col("__id"), "left")
     met = _buckets(marked, text, n, percent, count).groupBy("bucket").applyInPandas(_meet, MEET)
     met = materialize(met, "jaccard-met")
-    large = met.filter("big")
+    large = met.filter("kind = 1").select("sig", "a", "label", "ta", "sa", "n")
+    told = materialize(met.filter("kind = 2").select(F.col("sig").alias("again")).distinct(), "jaccard-told")
+    if told.limit(1).count():
+        labelled = _members(marked.filter("label is not null"), text, n, percent, count)
+        more = labelled.join(sized(told), F.col("sig") == F.col("again"), "left_semi").select("sig", "a", "label", "ta", "sa", "n")
+        large = materialize(large.unionByName(more).dropDuplicates(["sig", "a", "ta"]), "jaccard-large")
     lost = large.groupBy("a", "ta").agg(F.sum("n").alias("lost"), F.min("sa").alias("spare"))
     lost = materialize(lost.select(F.col("a").alias("l_id"), F.col("ta").alias("l_turn"), "lost", (F.col("spare") <= F.col("lost")).alias("short")), "jaccard-lost")
     short = materialize(lost.filter("short").select(F.col("l_id").alias("s_id"), F.col("l_turn").alias("s_turn")), "jaccard-short")
@@ -482,7 +599,7 @@ def _classes(docs: DataFrame, id: str, text: str, n: int, percent: int) -> DataF
     mixed = left.groupBy("sig").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x != y").select(F.col("sig").alias("ms"))
     left = materialize(left.join(sized(materialize(mixed, "jaccard-mixed")), F.col("sig") == F.col("ms"), "left_semi"), "jaccard-left")
     # Small groups' ids compare as unsigned numbers, everything from here on as signed ones.
-    small = met.filter("not big").select("a", "b", "ta", "tb", "sa", "sb", "n")
+    small = met.filter("kind = 0").select("a", "b", "ta", "tb", "sa", "sb", "n")
     turned = F.col("a") > F.col("b")
     pick = lambda x, y, name: F.when(turned, F.col(y)).otherwise(F.col(x)).alias(name)
     small = small.select(*[pick(x, y, x) for x, y in (("a", "b"), ("b", "a"), ("ta", "tb"), ("tb", "ta"), ("sa", "sb"), ("sb", "sa"))], "n")
@@ -517,17 +634,17 @@ def _classes(docs: DataFrame, id: str, text: str, n: int, percent: int) -> DataF
     low = materialize(low.withColumnRenamed("root", "__r"), "jaccard-low")
     member = materialize(final.join(sized(low), F.col("root") == F.col("__r")).select("__f", "component"), "jaccard-member")
     alone = nodes.select(F.col("node").alias("__m"), "rep")
-    out = rows.select("__id", "n_shingles", "node").join(sized(alone), F.col("node") == F.col("__m"), "left")
+    out = rows.select("__id", "__th", "n_shingles", "node").join(sized(alone), F.col("node") == F.col("__m"), "left")
     out = out.join(sized(member), F.col("node") == F.col("__f"), "left")
-    return out.select(F.col("__id").alias(id), "n_shingles", F.coalesce("component", "rep", "__id").alias("component_id"))
+    return out.select(F.col("__id").alias(id), "n_shingles", F.coalesce("component", "rep", "__id").alias("component_id"), "__th")
 
 
 def keep_one_per_class(docs: DataFrame, id: str = "doc_id", text: str = "text", n: int = 5, percent: int = 75) -> DataFrame:
     """The rows of ``docs``, as they are, less those that link, directly or not, to a row with a smaller id.
 
-    Rows that share an id and a set are one document and all stay or go together; rows with a null id stay.
+    It is the text that links: of rows that share an id those go whose own text does. Rows with a null id stay.
     """
-    classes = jaccard_classes(docs.select(id, text), id, text, n, percent)
-    gone = classes.filter(F.col(id) > F.col("component_id")).select(F.col(id).alias("__gone")).distinct()
+    classes = settle(lambda: _classes(docs.select(id, text), id, text, n, percent), "jaccard-classes")
+    gone = classes.filter(F.col(id) > F.col("component_id")).select(F.col(id).alias("__gone"), "__th").distinct()
     gone = materialize(gone, "jaccard-gone")
-    return docs.join(sized(gone), F.col(id) == F.col("__gone"), "left_anti")
+    return docs.join(sized(gone), (F.col(f"`{id}`") == F.col("__gone")) & (_text_hash(text) == F.col("__th")), "left_anti")

@@ -111,6 +111,59 @@ def test_linked_sets_meet_in_the_index():
                 assert set(sig[who < 2].tolist()) & set(sig[who >= 2].tolist())
 
 
+def test_hot_hashes_are_split_before_they_are_gathered(spark, monkeypatch):
+    """Boilerplate in half of the documents, a cluster of near copies, and documents that share most of its segments: with
+    small buffers every way is taken that a large group can take."""
+    monkeypatch.setattr(J, "FLUSH", 1500)
+    monkeypatch.setattr(J, "MANY", 4)
+    monkeypatch.setattr(J, "BLOCK", 16)
+    r, docs = random.Random(9), []
+    licence, base = passage(60_000, 40), passage(60_001, 70).split()
+    for _ in range(300):
+        docs.append((len(docs), f"{passage(61_000 + len(docs), r.randint(3, 60))} {licence if len(docs) % 2 else ''}"))
+    for _ in range(150):  # near copies of one text
+        w = list(base)
+        w[67 + r.randrange(3)] = f"edit{r.randrange(60)}"
+        docs.append((len(docs), " ".join(w)))
+    for k in range(60):  # more or less of it
+        w = base[: r.randint(20, 70)] + passage(62_000 + k, r.randint(0, 40)).split()
+        docs.append((len(docs), " ".join(w)))
+    docs += [(9000 + i, " ".join(base)) for i in range(40)] + [(None, " ".join(base))] * 30
+    kinds = set()
+    keep = J.materialize
+    monkeypatch.setattr(J, "materialize", lambda df, name: (lambda out: (name == "jaccard-met" and kinds.update(x["kind"] for x in out.select("kind").distinct().collect()), out)[1])(keep(df, name)))
+    got = jaccard_classes(spark.createDataFrame(docs, "doc_id long, text string"))  # in this order: near copies meet in a buffer of their own
+    assert sorted((tuple(x) for x in got.collect()), key=repr) == classes(docs)
+    assert kinds == {0, 1, 2}
+
+
+def test_no_bucket_gathers_a_hot_hash():
+    """20,000 sets, half with the same 30 elements: a buffer sends a bucket a bounded number of entries for each hash."""
+    r = np.random.default_rng(4)
+    common, flushes, entries, members, sent = r.integers(1, 1 << 62, 30, dtype=np.uint64), 0, 0, 0, 0
+    held = J.Entries()
+    for i in range(0, 20_000, 1000):
+        own = r.integers(1, 1 << 62, (1000, 12), dtype=np.uint64)
+        held.add([np.unique(np.concatenate([x, common] if k % 2 else [x])) for k, x in enumerate(own)], [None] * 1000, 75)
+        if i % 5000 == 4000:
+            entries += held.size
+            batch = J._sent(held, 4, flushes).to_pydict()
+            held, flushes = J.Entries(), flushes + 1
+            for bucket, body, mark, member in zip(batch["bucket"], batch["body"], batch["marks"], batch["members"]):
+                sig, hits = np.unique(np.frombuffer(body, J.BODY)["sig"], return_counts=True)
+                assert not len(hits) or hits.max() <= J.MANY
+                assert not np.intersect1d(sig, np.frombuffer(mark, J.MARK)["sig"]).size
+                members, sent = members + len(member) // np.dtype(J.MEMBER).itemsize, sent + int(hits.sum())
+                assert (bucket < 0) == bool(member)
+    assert members > 10_000 and members + sent == entries
+
+
+def test_rows_of_one_id_go_by_their_texts(spark):
+    a, b = passage(71, 60), passage(72, 60)
+    docs = spark.createDataFrame([(1, a), (5, a + " more"), (5, b), (6, b + " x")], "doc_id long, text string")
+    assert sorted(tuple(r) for r in keep_one_per_class(docs).collect()) == [(1, a), (5, b)]
+
+
 def test_components(spark):
     r = random.Random(1)
     links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(r.randrange(200, 240), r.randrange(200, 240)) for _ in range(25)]
