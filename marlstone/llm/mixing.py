@@ -8,8 +8,8 @@ is a schedule that keeps all windows, and this one does: after every slot each s
 share, to the end of the mix. Windows are worked out in whole numbers from the exact weights, without rounding.
 
 The driver gets one row for each source (its size) and works out the schedule: some three millionths of a second a block,
-a few kilobytes a source at once. It writes the slots in pieces of ``PIECE`` blocks to a table, eight bytes a block, which
-documents join by source and piece. ``block_docs`` sets the number of blocks: a corpus of billions of documents wants larger
+a few kilobytes a source at once. It writes the slots in pieces of ``PIECE`` blocks to a table, some eight bytes a block,
+which documents join by source and piece. ``block_docs`` sets the number of blocks: a corpus of billions of documents wants larger
 blocks than 16.
 
 Documents are numbered inside their source by (hash bucket, hash), the hash being of the id and all other columns: buckets
@@ -26,10 +26,12 @@ names.
 from __future__ import annotations
 
 import heapq
+import json
 import uuid
 from array import array
 from collections.abc import Iterator
 from fractions import Fraction
+from itertools import chain
 from math import gcd, lcm
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,7 +41,7 @@ from pyspark.sql.window import Window
 from ._shared import materialize, note, shared_dir, sized
 
 #: Blocks in a row of the table of slots; slots that the driver holds before it writes them; slots that are broadcast.
-PIECE, WRITE, BROADCAST_SLOTS = 1024, 1 << 20, 1 << 22
+PIECE, WRITE, BROADCAST_SLOTS = 1024, 1 << 18, 1 << 22
 #: Equal rows that one task deals out at a time.
 DEAL = 1 << 16
 SLOTS = "ps string, piece long, slots array<long>"
@@ -133,20 +135,21 @@ def pieces(ideal: Ideal) -> Iterator[tuple]:
 
 
 def _schedule(spark: SparkSession, blocks: dict, weights: dict) -> DataFrame:
-    """The table of slots, written a bounded part at a time."""
-    path, rows, held = f"{shared_dir(spark)}/marlstone/mix-slots-{uuid.uuid4().hex}", [], 0
-
-    def write() -> None:
-        spark.createDataFrame(rows, SLOTS, verifySchema=False).coalesce(1).write.mode("append").parquet(path)
-
-    for row in pieces(Ideal(blocks, weights)):
-        rows.append(row)
-        held += len(row[2])
-        if held >= WRITE:
-            write()
-            rows, held = [], 0
-    write()
-    return note(spark.read.schema(SLOTS).parquet(path), path)
+    """The table of slots: lines of JSON that the driver writes to the shared folder, a bounded part at a time."""
+    path, lines, held, files = f"{shared_dir(spark)}/marlstone/mix-slots-{uuid.uuid4().hex}", [], 0, 0
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(folder)
+    for row in chain(pieces(Ideal(blocks, weights)), [None]):
+        if row:
+            lines.append(json.dumps(dict(zip(("ps", "piece", "slots"), row, strict=True)), separators=(",", ":")))
+            held += len(row[2])
+        if lines and (held >= WRITE or not row):
+            out = fs.create(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{files:06d}.json"), True)
+            out.write(bytearray("\n".join(lines).encode()))
+            out.close()
+            lines, held, files = [], 0, files + 1
+    return note(spark.read.schema(SLOTS).json(path), path)
 
 
 def _dealt(rows: DataFrame) -> DataFrame:
