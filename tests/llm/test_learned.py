@@ -176,24 +176,30 @@ def test_repeated_ids_count_once(spark):
     assert nets[0].probability(text, np.array([0, 14])) == nets[1].probability(text, np.array([0, 14]))
 
 
+def plain_logit(net, t):
+    """The network's answer for one text, chunk by chunk and step by step."""
+    w, half = net.w, quality.BYTES
+    blocks = max(1, -(-len(t) // half))
+    padded = t + bytes(blocks * half - len(t))
+    answers = []  # of every filter at every step that lies inside the padded text
+    for s in range(0, len(padded) - quality.WIDTH + 1, quality.STRIDE):
+        answers.append(np.concatenate([w["e"][c] for c in padded[s : s + quality.WIDTH]]) @ w["f"])
+    hidden, steps = [], half // quality.STRIDE
+    for c in range(max(1, blocks - 1)):
+        top = np.max(answers[c * steps : (c + 2) * steps], axis=0)
+        full = min(1, (len(t) - c * half) / (2 * half))
+        hidden.append(np.maximum(np.append(np.maximum(top + w["fb"], 0), full) @ w["h"] + w["hb"], 0))
+    return np.concatenate([np.mean(hidden, 0), np.max(hidden, 0)]) @ w["o"] + w["ob"][0]
+
+
 def test_forward_pass_equals_loops():
     r = np.random.default_rng(3)
     net = quality.Cnn(dims=3, filters=5, hidden=4)
     net.w = {k: r.standard_normal(v.shape) for k, v in net.w.items()}
-    w, half = net.w, quality.BYTES
+    half = quality.BYTES
     docs = [bytes(r.integers(1, 256, n, dtype=np.uint8)) for n in (0, 1, 7, half - 1, half, half + 1, 2 * half - 1, 2 * half, 2 * half + 3, 5 * half + 100)]
     off = np.cumsum([0, *map(len, docs)])
     got = net.forward(np.frombuffer(b"".join(docs), np.uint8), off)
     for i, t in enumerate(docs):
-        blocks = max(1, -(-len(t) // half))
-        padded = t + bytes(blocks * half - len(t))
-        answers = []  # of every filter at every step that lies inside the padded text
-        for s in range(0, len(padded) - quality.WIDTH + 1, quality.STRIDE):
-            answers.append(np.concatenate([w["e"][c] for c in padded[s : s + quality.WIDTH]]) @ w["f"])
-        hidden, steps = [], half // quality.STRIDE
-        for c in range(max(1, blocks - 1)):
-            top = np.max(answers[c * steps : (c + 2) * steps], axis=0)
-            full = min(1, (len(t) - c * half) / (2 * half))
-            hidden.append(np.maximum(np.append(np.maximum(top + w["fb"], 0), full) @ w["h"] + w["hb"], 0))
-        want = np.concatenate([np.mean(hidden, 0), np.max(hidden, 0)]) @ w["o"] + w["ob"][0]
+        want = plain_logit(net, t)
         assert abs(got[i] - want) < 1e-5 * max(1, abs(want))

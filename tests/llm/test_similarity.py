@@ -316,12 +316,17 @@ def test_passages_of_odd_rows(spark, odd, none):
 
 
 def test_pipeline_stages(spark, tmp_path):
+    """Every stage against a brute-force version of its operator, each on what the one before kept."""
     import corpus_pipeline as cp
-    from marlstone.llm import quality, queries
+    from marlstone.llm import queries
 
-    sf = "/root/testdata/sf0.01"
+    from .test_exact_and_mix import plain_schedule
+    from .test_learned import plain_logit
+    from .test_text_scans import brute
+
+    sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
-    columns, seen, frames = docs.columns, [], []
+    columns, frames = docs.columns, []
     for i, (name, stage) in enumerate(cp.STAGES):
         out = stage(spark, docs, sf)
         if i < len(cp.STAGES) - 1:
@@ -329,18 +334,48 @@ def test_pipeline_stages(spark, tmp_path):
         out.write.parquet(str(tmp_path / name))
         frames.append((docs, spark.read.parquet(str(tmp_path / name))))
         docs = frames[-1][1]
-        seen.append(docs.count())
     text = lambda df: [(r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect()]
+    ids = lambda df: {r["doc_id"] for r in df.select("doc_id").collect()}
     before, after = frames[0]
     model = queries.quality_model(before, spark.read.parquet(f"{sf}/labels.parquet"))
-    good = {r["doc_id"] for r in quality.score_quality(before, model).filter("predicted = 1").collect()}
-    assert {d for d, _ in text(after)} == good
+    logit = {d: plain_logit(model, (t or "").encode()) for d, t in text(before)}
+    assert {d for d, x in logit.items() if x > 1e-4} <= ids(after) <= {d for d, x in logit.items() if x > -1e-4} and len(ids(after)) < len(logit)
     before, after = frames[1]
     last = {}
     for d, t in text(before):
         last[t] = max(d, last.get(t, -1))
-    assert {d for d, _ in text(after)} == set(last.values())
+    assert ids(after) == set(last.values())
     before, after = frames[2]
-    assert {d for d, _ in text(after)} == {d for d, _, c in classes(text(before)) if d == c}
-    assert seen[4] == seen[3] and frames[4][1].select("mix_position").distinct().count() == seen[4]
-    assert seen[0] > seen[1] > seen[2] >= seen[3]
+    assert ids(after) == {d for d, _, c in classes(text(before)) if d == c}
+    before, after = frames[3]
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    assert ids(after) == {r[0] for r in brute(text(before), items) if not r[-1]}
+    before, after = frames[4]
+    rows = after.orderBy("mix_position").collect()
+    assert sorted(r["doc_id"] for r in rows) == sorted(ids(before)) and len({r["mix_position"] for r in rows}) == len(rows)
+    size = defaultdict(int)
+    for r in rows:
+        size[r["source"]] += 1
+    blocks = {k: -(-n // 16) for k, n in size.items()}
+    by_slot = {r["mix_slot"]: r["source"] for r in rows}
+    assert [by_slot[t] for t in range(len(by_slot))] == plain_schedule(blocks, {k: n**0.5 for k, n in size.items()})
+    whole = cp.run(spark, sf)
+    assert {(r["doc_id"], r["mix_position"]) for r in whole.collect()} == {(r["doc_id"], r["mix_position"]) for r in rows}
+
+
+def test_pipeline_of_odd_and_empty_tables(spark, odd, none, tmp_path):
+    import corpus_pipeline as cp
+
+    labels = spark.createDataFrame([(1, 1), (4, 0), (None, 1), (9, None)], "doc_id long, quality int")
+    bench = spark.createDataFrame([("a", passage(3, 20)), (None, None), ("b", "")], "item_id string, text string")
+    for name, docs in (("odd", odd), ("none", none)):
+        for table, df in (("documents", docs), ("labels", labels), ("benchmark", bench), ("labels", labels.limit(0)), ("benchmark", bench.limit(0))):
+            df.write.mode("overwrite").parquet(f"{tmp_path}/{name}/{table}.parquet")
+        out = cp.run(spark, f"{tmp_path}/{name}")
+        assert set(out.columns) == {*docs.columns, "mix_slot", "mix_offset", "mix_position"}
+        got = out.collect()
+        assert len({r["mix_position"] for r in got}) == len(got)
+        # Without labels nothing is rejected, without a benchmark nothing is contaminated: copies alone go.
+        texts = {r["text"] or "" for r in docs.collect()}
+        near = {c for _, _, c in classes([(r["doc_id"], r["text"]) for r in docs.collect()])}
+        assert {r["text"] or "" for r in got} <= texts and (len(got) > 0) == (len(near) > 0)
