@@ -1,7 +1,11 @@
 """The corpus pipeline: five stages, each over all that the one before kept.
 
 quality -> exact copies -> near copies -> benchmark contamination -> mix. The first four keep the columns of documents;
-the mix adds each document's place. Every stage is written as Parquet and read again by the next one.
+the mix adds each document's place. Every stage is written as Parquet and read again by the next one; what a stage wrote on
+its way, and what the one before it wrote, is deleted then.
+
+Defined results: empty tables and tables without labels pass through (a classifier without labels rejects nothing); rows
+with null or empty texts are judged as such by every stage; extra columns are carried along.
 """
 
 from __future__ import annotations
@@ -10,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marlstone.llm import queries
-from marlstone.llm._shared import materialize
+from marlstone.llm._shared import release, settle
 from marlstone.llm.decontaminate import decontaminate
 from marlstone.llm.exact_dedup import exact_dedup
 from marlstone.llm.jaccard_join import keep_one_per_class
@@ -51,7 +55,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        before = docs
+        docs = settle(lambda stage=stage, before=before: stage(spark, before, sf_dir), f"pipeline-{name}")
+        release(before)
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
