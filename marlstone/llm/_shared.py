@@ -80,9 +80,13 @@ def clear(spark: SparkSession) -> None:
 
 
 def sized(df: DataFrame, rows: int | None = None, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast a narrow materialized frame if it has at most ``limit`` rows; beyond that the join shuffles."""
+    """Broadcast a narrow written frame if its rows and its files are within bounds; beyond that the join shuffles.
+
+    ``rows`` is for frames of known small rows, whose number alone counts.
+    """
     n = df.count() if rows is None else rows
-    return F.broadcast(df) if n <= limit else df.hint("merge")
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) if rows is None else 0
+    return F.broadcast(df) if n <= limit and size <= BROADCAST_BYTES else df.hint("merge")
 
 
 # ---- bytes, words and hashes (numpy) ---------------------------------------------------------------------------

@@ -6,7 +6,8 @@ by the text itself. Nothing gathers a group in one task: counts, ids and the two
 and single texts (most rows) take part in no join.
 
 Defined results: a null text counts as empty; a null id is smaller than any id; of rows that tie on the largest id
-exactly one stays; an empty table gives an empty result; other columns, whatever their names, pass through untouched.
+exactly one stays; a text of any length is compared whole (its group's two extreme texts are all that a task holds of it);
+an empty table gives an empty result; other columns, whatever their names, pass through untouched.
 """
 
 from __future__ import annotations

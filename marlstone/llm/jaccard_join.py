@@ -13,7 +13,10 @@ principle linked sets agree in some segment, if levels add up to more than H:
 m and the level of an instance come from a cost model: entries to index against the chance that a set falls short of H
 once empty segments are left out. Left-out segments are accounted for set by set: a set that still has more than H
 levels loses nothing, since its linked sets meet it elsewhere. Sets that fall short are met in the left-out groups too,
-with each other. So nothing is capped, and nothing is lost. More than that, linked sets must meet as often as a set has
+with each other. So nothing is capped, and nothing is lost. Groups that many sets share never meet in one task: a task that
+indexes documents sorts a million entries at a time, and of a hash that more than ``MANY`` of them have it sends its bucket
+a mark instead: with different labels the members go their own way, with one label they are told later, if another label
+turns up elsewhere (rows of labelled documents are then indexed once more, for those hashes alone). More than that, linked sets must meet as often as a set has
 levels to spare beyond H (less what was left out of it), which dismisses most chance meetings before any text moves.
 
 Copies and clusters must not cost pairs: equal sets are one node; a first round with a few segments of each instance
@@ -22,7 +25,9 @@ then only yields pairs with different labels. Every link is verified on the text
 
 Defined results: null and empty texts have no shingles and no links; a text with fewer words than a shingle is one
 shingle; rows with a null id link others but give no id (a component of such rows alone has a null id); equal rows are
-one node; rows of one id with different texts are nodes of their own; an empty table gives an empty result.
+one node; rows of one id with different texts are nodes of their own; of ties for the smallest id there is but one value;
+a text of any length is one row's work; other columns, whatever their names, are not read (or pass through, where rows are
+kept); an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -212,10 +217,14 @@ def describe(docs: DataFrame, id: str, text: str, n: int, percent: int) -> DataF
     return annotate(docs, run, "n_shingles long, node binary, first array<long>", [text], [c for c in docs.columns if c != text])
 
 
-def _texts(docs: DataFrame, nodes: DataFrame, id: str, text: str, n: int) -> DataFrame:
-    """(node, text) of the nodes asked for: (node, rep), rep being an id of theirs."""
-    rows = docs.select(F.col(id).alias("__rep"), F.col(text).alias("text"))
-    got = rows.join(sized(nodes.select(F.col("rep").alias("__r"), F.col("node").alias("asked"))), F.col("__rep").eqNullSafe(F.col("__r"))).select("asked", "text")
+def _texts(docs: DataFrame, nodes: DataFrame, id: str, text: str, n: int, repeated: bool) -> DataFrame:
+    """(node, text) of the nodes asked for: (node, rep, th), the id and text hash of a row of theirs. ``repeated``: rows may
+    share both."""
+    rows = docs.select(F.col(f"`{id}`").alias("__rep"), F.col(f"`{text}`").alias("text"), _text_hash(text).alias("__h"))
+    asked = sized(nodes.select(F.col("rep").alias("__r"), F.col("th").alias("__th"), F.col("node").alias("asked")))
+    got = rows.join(asked, (F.col("__h") == F.col("__th")) & F.col("__rep").eqNullSafe(F.col("__r"))).select("asked", "text")
+    if repeated:
+        got = got.groupBy("asked").agg(F.first("text").alias("text")).select("asked", "text")
 
     def run(columns: list[pa.Array]) -> list[pa.Array]:
         data, off, _ = text_buffers(columns[0])
@@ -562,12 +571,15 @@ def _text_hash(text: str):
 def _classes(docs: DataFrame, id: str, text: str, n: int, percent: int) -> DataFrame:
     rows = materialize(describe(docs.select(F.col(f"`{id}`").alias("__id"), F.col(f"`{text}`").alias("__t"), _text_hash(text).alias("__th")), "__id", "__t", n, percent), "jaccard-rows")
     real = rows.filter(F.length("node") > 0)
-    nodes = real.groupBy("node").agg(F.min("__id").alias("rep"), F.first("first").alias("first"), F.max("n_shingles").alias("n"))
-    nodes = materialize(nodes, "jaccard-nodes")
+    # A node's row: the smallest id that isn't null, and the text that this row has.
+    row = F.min(F.struct(F.col("__id").isNull().alias("none"), F.col("__id").alias("rep"), F.col("__th").alias("th"))).alias("row")
+    nodes = real.groupBy("node").agg(row, F.first("first").alias("first"), F.max("n_shingles").alias("n"))
+    nodes = materialize(nodes.select("node", "row.rep", "row.th", "first", "n"), "jaccard-nodes")
+    repeated = rows.groupBy("__id", "__th").count().filter("count > 1").limit(1).count() > 0
     offered = materialize(_first_round(nodes), "jaccard-offered")
     asked = offered.select(F.col("a").alias("node")).union(offered.select(F.col("b").alias("node"))).distinct()
-    asked = materialize(nodes.join(sized(materialize(asked, "jaccard-asked")), "node").select("node", "rep"), "jaccard-asked")
-    texts = materialize(_texts(docs, asked, id, text, n), "jaccard-texts")
+    asked = materialize(nodes.join(sized(materialize(asked, "jaccard-asked")), "node").select("node", "rep", "th"), "jaccard-asked")
+    texts = materialize(_texts(docs, asked, id, text, n, repeated), "jaccard-texts")
     links = materialize(verify(offered, texts, n, percent), "jaccard-links")
     release(texts)
     found = connected_components(links)
@@ -613,16 +625,16 @@ def _classes(docs: DataFrame, id: str, text: str, n: int, percent: int) -> DataF
     pairs = materialize(often.filter(enough).select("a", "b").distinct(), "jaccard-pairs")
     ends = pairs.select(F.col("a").alias("e")).union(pairs.select(F.col("b").alias("e"))).distinct()
     ends = materialize(ends, "jaccard-ends")
-    by_name = nodes.select("node", "rep", name("node").alias("k"))
-    wanted = materialize(by_name.join(sized(ends), F.col("k") == F.col("e")).select("node", "rep", "k"), "jaccard-wanted")
+    by_name = nodes.select("node", "rep", "th", name("node").alias("k"))
+    wanted = materialize(by_name.join(sized(ends), F.col("k") == F.col("e")).select("node", "rep", "th", "k"), "jaccard-wanted")
     one, two = wanted.select(F.col("node").alias("na"), F.col("k").alias("ka")), wanted.select(F.col("node").alias("nb"), F.col("k").alias("kb"))
     full = pairs.join(sized(one), F.col("a") == F.col("ka")).join(sized(two), F.col("b") == F.col("kb")).select(F.col("na").alias("a"), F.col("nb").alias("b"))
-    texts = materialize(_texts(docs, wanted, id, text, n), "jaccard-texts")
+    texts = materialize(_texts(docs, wanted, id, text, n, repeated), "jaccard-texts")
     more = materialize(verify(full, texts, n, percent), "jaccard-links")
     release(texts)
     few = left.select(F.col("a").alias("e")).distinct()
-    wanted = materialize(by_name.join(sized(materialize(few, "jaccard-few")), F.col("k") == F.col("e")).select("node", "rep", "k"), "jaccard-wanted")
-    texts = _texts(docs, wanted, id, text, n).withColumn("k", name("node")).select("k", "text")
+    wanted = materialize(by_name.join(sized(materialize(few, "jaccard-few")), F.col("k") == F.col("e")).select("node", "rep", "th", "k"), "jaccard-wanted")
+    texts = _texts(docs, wanted, id, text, n, repeated).withColumn("k", name("node")).select("k", "text")
     cross = materialize(_large_groups(left, materialize(texts, "jaccard-texts"), n, percent), "jaccard-cross")
     one, two = wanted.select(F.col("node").alias("na"), F.col("k").alias("ka")), wanted.select(F.col("node").alias("nb"), F.col("k").alias("kb"))
     cross = cross.join(sized(one), F.col("a") == F.col("ka")).join(sized(two), F.col("b") == F.col("kb")).select(F.col("na").alias("a"), F.col("nb").alias("b"))

@@ -6,7 +6,8 @@ merges all its occurrences in all sequences at once, until no sequence has a pai
 count. A worker keeps counts of pre-tokens it has met, up to ``CACHE`` of them. Documents stay in their partitions.
 
 Defined results: null and empty texts have no tokens; special tokens' strings inside a text count one token each, as the
-tokenizer's defaults have it; equal rows get equal counts.
+tokenizer's defaults have it; equal rows get equal counts; a text of any length is counted whole, in its own row; an empty
+table gives an empty result; input columns with the names of the added ones are replaced, all others pass through.
 """
 
 from __future__ import annotations

@@ -128,7 +128,8 @@ def test_hot_hashes_are_split_before_they_are_gathered(spark, monkeypatch):
     for k in range(60):  # more or less of it
         w = base[: r.randint(20, 70)] + passage(62_000 + k, r.randint(0, 40)).split()
         docs.append((len(docs), " ".join(w)))
-    docs += [(9000 + i, " ".join(base)) for i in range(40)] + [(None, " ".join(base))] * 30
+    docs += [(9000 + i, " ".join(base)) for i in range(40)] + [(None, " ".join(base))] * 30 + [(9100, " ".join(base[:69]))] * 20
+    docs += [(None, f"{passage(63_000 + i // 2, 30)} null{i}") for i in range(40)] + [(9200, f"{passage(64_000 + i // 3, 30)} same{i}") for i in range(30)]
     kinds = set()
     keep = J.materialize
     monkeypatch.setattr(J, "materialize", lambda df, name: (lambda out: (name == "jaccard-met" and kinds.update(x["kind"] for x in out.select("kind").distinct().collect()), out)[1])(keep(df, name)))
