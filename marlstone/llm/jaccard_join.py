@@ -556,7 +556,8 @@ def _large_groups(left: DataFrame, texts: DataFrame, n: int, percent: int) -> Da
     rows = left.select("a", "label").distinct().join(sized(owner), F.col("a") == F.col("ma")).join(sized(ends), F.col("blk") == F.col("mine"))
     rows = rows.select("b1", "b2", "a", "label", "blk").join(texts.hint("merge"), F.col("a") == F.col("k")).select("b1", "b2", "a", "label", "blk", "text")
     importable(left.sparkSession)
-    return rows.groupBy("b1", "b2").applyInPandas(_link_blocks(n, percent), "a long, b long").distinct()
+    tasks = max(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-wanted.count() // 16))
+    return rows.repartition(tasks, "b1", "b2").groupBy("b1", "b2").applyInPandas(_link_blocks(n, percent), "a long, b long").distinct()
 
 
 def jaccard_classes(docs: DataFrame, id: str = "doc_id", text: str = "text", n: int = 5, percent: int = 75) -> DataFrame:
@@ -596,7 +597,9 @@ def _classes(docs: DataFrame, id: str, text: str, n: int, percent: int) -> DataF
     entries = (nodes.agg(F.sum("n")).first()[0] or 0) * 0.9
     count = max(8, math.ceil(entries / BUCKET_ENTRIES))
     marked = docs.select(F.col(id).alias("__d"), text).join(sized(marks), F.col("__d") == F.col("__id"), "left")
-    met = _buckets(marked, text, n, percent, count).groupBy("bucket").applyInPandas(_meet, MEET)
+    # As many tasks as buckets, whatever the session's number is: a task's share does not grow with the corpus.
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2 * count)
+    met = _buckets(marked, text, n, percent, count).repartition(tasks, "bucket").groupBy("bucket").applyInPandas(_meet, MEET)
     met = materialize(met, "jaccard-met")
     large = met.filter("kind = 1").select("sig", "a", "label", "ta", "sa", "n")
     told = materialize(met.filter("kind = 2").select(F.col("sig").alias("again")).distinct(), "jaccard-told")
