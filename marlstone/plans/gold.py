@@ -120,6 +120,7 @@ def fact_transaction(tx: DataFrame, d: dict[str, DataFrame]) -> DataFrame:
         {"account_sk": "account_sk", "account_region": "region"}, {"customer_sk": "customer_sk"}, {**unknown, "account_region": "UNKNOWN"},
     )
     f = pit_lookup(f, d["dim_merchant"], {"merchant_id": "merchant_id"}, "auth_ts", {"merchant_sk": "merchant_sk"}, unknown, split_null=True)
+    # Currencies and reasons are the fixed rows above, whatever the data's size.
     f = lookup(f, F.broadcast(d["dim_currency"]), {"currency_code": "currency_code"}, {"currency_sk": "currency_sk", "__digits": "minor_unit_digits"}, unknown)
     f = lookup(f, F.broadcast(d["dim_decline_reason"]), {"decline_reason_code": "decline_reason_code"}, {"decline_reason_sk": "decline_reason_sk"}, unknown)
     f = lookup(f, d["dim_card_product"], {"card_product_code": "card_product_code"}, {"card_product_sk": "card_product_sk"}, unknown)
