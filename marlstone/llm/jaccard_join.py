@@ -477,6 +477,34 @@ def _meet(pdf: pd.DataFrame) -> pd.DataFrame:
 MEET = "kind int, a long, b long, label long, ta long, tb long, sa long, sb long, sig long, n long"
 
 
+def _met(rows: DataFrame, tasks: int) -> DataFrame:
+    """What meets in the buckets. Buckets are dealt by number, not by hash: each task gets as many as any other."""
+    names = ["kind", "a", "b", "label", "ta", "tb", "sa", "sb", "sig", "n"]
+    kind = pa.schema([(c, pa.int32() if c == "kind" else pa.int64()) for c in names])
+
+    def give(held):
+        out = _meet(pd.concat(held, ignore_index=True))
+        for lo in range(0, len(out), 100_000):
+            yield pa.RecordBatch.from_pandas(out.iloc[lo : lo + 100_000], kind, preserve_index=False)
+
+    def run(batches):
+        held, last = [], None
+        for b in batches:
+            bucket = np.asarray(b.column("bucket"))
+            cut = [*np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])[: len(bucket)]).tolist(), len(bucket)]
+            for lo, hi in zip(cut, cut[1:], strict=False):
+                if held and bucket[lo] != last:
+                    yield from give(held)
+                    held = []
+                last = bucket[lo]
+                held.append(b.slice(lo, hi - lo).to_pandas())
+        if held:
+            yield from give(held)
+
+    dealt = rows.repartitionById(tasks, F.pmod("bucket", F.lit(tasks)).cast("int")).sortWithinPartitions("bucket")
+    return dealt.mapInArrow(run, MEET)
+
+
 def _link_blocks(n: int, percent: int):
     """For a pair of blocks: exact intersections of all their sets as a product of incidence matrices, and of the links
     between different labels a spanning forest. Pairs neither leave nor enter; a block has a fixed number of sets."""
@@ -598,8 +626,8 @@ def _classes(docs: DataFrame, id: str, text: str, n: int, percent: int) -> DataF
     count = max(8, math.ceil(entries / BUCKET_ENTRIES))
     marked = docs.select(F.col(id).alias("__d"), text).join(sized(marks), F.col("__d") == F.col("__id"), "left")
     # As many tasks as buckets, whatever the session's number is: a task's share does not grow with the corpus.
-    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2 * count)
-    met = _buckets(marked, text, n, percent, count).repartition(tasks, "bucket").groupBy("bucket").applyInPandas(_meet, MEET)
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), count)
+    met = _met(_buckets(marked, text, n, percent, count), tasks)
     met = materialize(met, "jaccard-met")
     large = met.filter("kind = 1").select("sig", "a", "label", "ta", "sa", "n")
     told = materialize(met.filter("kind = 2").select(F.col("sig").alias("again")).distinct(), "jaccard-told")
